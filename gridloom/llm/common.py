@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20)
         if not n:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
         start = size = 0
         for i, s in enumerate(sizes):
             if i > start and size + s > limit:

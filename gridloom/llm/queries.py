@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, labels
+from .fingerprints import edit_likeness
+from .mixing import mix
 from .packing import pack
 from .tokens import token_counts
 
@@ -15,12 +17,20 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op9_token_counts)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_mixing, op9_token_counts, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
