@@ -1,7 +1,7 @@
 """SimHash fingerprints and a search within a Hamming radius.
 
 A text's terms are its distinct three-word shingles (A-Z in lower case); each
-votes on every bit with the logarithm of its count.  The share of equal bits
+votes on every bit with its count.  The share of equal bits
 estimates the angle between two texts, so likeness is that angle's cosine,
 at least 0.
 """
@@ -69,7 +69,7 @@ def simhash(text: bytes, bits: int = BITS, k: int = WORDS) -> bytes:
     """The fingerprint; all zero for a text without words."""
     terms, counts = np.unique(shingles(word_hashes(text), k), return_counts=True)
     votes = np.zeros(bits, np.float32)
-    weights = np.log2(1 + counts).astype(np.float32)
+    weights = counts.astype(np.float32)
     for a in range(0, terms.size, 4096):
         h = terms[a : a + 4096]
         lanes = np.stack([mixed(h + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64)) for i in range(bits // 64)], axis=1)
