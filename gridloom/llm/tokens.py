@@ -37,7 +37,7 @@ class Encoder:
 
     _loaded: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, capacity: int = 250_000):
+    def __init__(self, path: str, capacity: int = 500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
