@@ -11,6 +11,7 @@ from .fingerprints import edit_likeness
 from .mixing import mix
 from .packing import pack
 from .quality import quality_rules
+from .secret_scan import secret_digests
 from .tokens import token_counts
 
 
@@ -22,6 +23,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -35,7 +40,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_mixing, op5_quality_rules, op9_token_counts, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_mixing, op4_secret_scan, op5_quality_rules, op9_token_counts, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
