@@ -13,12 +13,17 @@ from .packing import pack
 from .quality import quality_rules
 from .secret_scan import secret_digests
 from .tokens import token_counts
+from .toxicity import toxicity
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -40,7 +45,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_mixing, op4_secret_scan, op5_quality_rules, op9_token_counts, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_mixing, op4_secret_scan, op5_quality_rules, op9_token_counts, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
