@@ -97,7 +97,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float, most: int = 20_
     # Accelerated gradient steps of a length that the features' size bounds.
     step = 4 / (np.bincount(row, value**2, len(cols)).max(initial=0) + 1 + 4 * decay)
     vw, vb = w.copy(), b
-    for k in range(1, 1501):
+    for k in range(1, 401):
         p = 1 / (1 + np.exp(-(np.bincount(row, value * vw[col], len(cols)) + vb)))
         g = np.bincount(col, value * (p - y)[row], chosen.size) / y.size + decay * vw
         nw, nb = vw - step * 5 * g, vb - step * 5 * float((p - y).mean())
