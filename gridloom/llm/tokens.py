@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import pick, settle, slices, table
 
 #: Pre-tokens looked up in a broadcast table at most; the rest are joined.
-COMMON = 200_000
+COMMON = 300_000
 #: Longer pre-tokens are never broadcast nor cached.
 LONG = 64
 
@@ -159,9 +159,9 @@ def token_counts(
     docs = pick(df, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     vocabulary = settle(piece_counts(count_words(docs, path), path))
 
-    # Frequencies by powers of two: at most 64 rows reach the driver.
+    # Frequencies by powers of 2 ** (1/8): at most 504 rows reach the driver.
     levels = sorted(
-        vocabulary.where(F.octet_length("word") <= LONG).groupBy(F.floor(F.log2("n")).alias("level")).count().collect(),
+        vocabulary.where(F.octet_length("word") <= LONG).groupBy(F.floor(8 * F.log2("n")).alias("level")).count().collect(),
         key=lambda r: -r["level"],
     )
     total, least = 0, None
@@ -173,7 +173,7 @@ def token_counts(
     if least is None:
         known, rest = {}, vocabulary
     else:
-        frequent = (F.octet_length("word") <= LONG) & (F.floor(F.log2("n")) >= F.lit(least))
+        frequent = (F.octet_length("word") <= LONG) & (F.floor(8 * F.log2("n")) >= F.lit(least))
         got = vocabulary.where(frequent).select("word", "pieces").toArrow()
         known = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
         rest = vocabulary.where(~frequent)
