@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, labels
 from .fingerprints import edit_likeness
 from .license_scan import scan_licenses
+from .line_dedup import dedup_lines
+from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
 from .quality import quality_rules
@@ -37,10 +39,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(documents(spark, sf_dir))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).drop("spans")
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -50,7 +60,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_mixing, op4_secret_scan, op5_quality_rules, op7_license_scan, op9_token_counts, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_mixing, op4_secret_scan, op5_quality_rules, op6_line_dedup, op7_license_scan, op8_minhash_near_dedup, op9_token_counts, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
