@@ -41,16 +41,22 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*out)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, in the folder that executors share."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder; the session names it, and only a local session may go without."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
             if not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="gridloom-")
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute once and cut the lineage, in the folder that executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
