@@ -1,0 +1 @@
+"""A PySpark engine for chunked N-dimensional geospatial arrays."""
