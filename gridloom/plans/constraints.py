@@ -33,6 +33,8 @@ class Constraints:
 
     bounds: Mapping[str, Bound] = field(default_factory=dict)
     pins: Mapping[str, int] = field(default_factory=dict)
+    #: Further bounds, all of which must hold.
+    also: tuple[tuple[str, Bound], ...] = ()
 
 
 def parse_pins(text: str | None) -> dict[str, int]:
@@ -141,7 +143,7 @@ def index_ranges(
 ) -> list[list[Range]]:
     """Ranges for each dimension.  A pin wins over a bound and is held to the last index."""
     bounds: dict[str, list[Bound]] = {}
-    for name, bound in constraints.bounds.items():
+    for name, bound in (*constraints.bounds.items(), *constraints.also):
         if (dim := find_dim(dims, name)) is not None and (bound[0] is not None or bound[1] is not None):
             bounds.setdefault(dim, []).append(bound)
     out: list[list[Range]] = []

@@ -134,12 +134,14 @@ def _geo(attributes: dict) -> tuple[str | None, list | None, list | None]:
         if not isinstance(geo, dict):
             return None, None, None
         crs = geo.get("crs") or (geo.get("spatial_reference") or {}).get("crs")
-        transform = geo.get("spatial_transform") or geo.get("transform") or geo
-        scale, translation = transform.get("scale"), transform.get("translation")
-        if scale is not None:
-            scale, translation = [float(x) for x in scale], [float(x) for x in translation]
+        transform = geo.get("spatial_transform")
+        scale = translation = None
+        if transform is not None:
+            scale, translation = [float(x) for x in transform["scale"]], [float(x) for x in transform["translation"]]
+            if len(scale) != len(translation):
+                return None, None, None
         return (str(crs) if crs else None), scale, translation
-    except (TypeError, ValueError, AttributeError):
+    except (TypeError, ValueError, AttributeError, KeyError):
         return None, None, None
 
 
