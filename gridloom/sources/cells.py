@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from ..plans.chunks import Box
 from ..plans.constraints import Constraints, parse_pins
 from .arrays import ArrayInfo
 from .resolve import open_source
+from .stores import ALLOW, permit
 
 NAME = "cells"
 #: Decoded bytes that a task reads, about.
@@ -72,6 +74,8 @@ class CellSource(DataSource):
     def _open(self) -> ArrayInfo:
         if not hasattr(self, "_info"):
             path = self.options.get("path") or self.options.get("uri")
+            # The planner's process doesn't have the driver's environment.
+            permit(self.options.get("allow"))
             if not path:
                 raise ValueError("the cells source needs a path")
             self._info = open_source(path, bounds_of(dict(self.options)), self.options.get("asset"))
@@ -210,7 +214,7 @@ def read_geo(
     """The cells of an array within bounds, as a distributed DataFrame."""
     register(spark)
     options = dict(lat_min=lat_min, lat_max=lat_max, lon_min=lon_min, lon_max=lon_max, time_min=time_min, time_max=time_max, pins=pins, asset=asset, **bounds)
-    options |= dict(columns=",".join(columns) if columns else None, index_columns=str(index_columns), exact=str(exact), task_bytes=task_bytes)
+    options |= dict(allow=os.environ.get(ALLOW) or os.getcwd(), columns=",".join(columns) if columns else None, index_columns=str(index_columns), exact=str(exact), task_bytes=task_bytes)
     reader = spark.read.format(NAME)
     for key, value in options.items():
         if value is not None:
@@ -219,11 +223,15 @@ def read_geo(
 
 
 def register(spark: SparkSession) -> None:
-    from .tables import PlanCells, CellTable, MetadataTable
+    """Make the source, the sink and the table functions known to a session."""
+    from .tables import functions
     from .zarr_sink import ZarrSink
 
     spark.dataSource.register(CellSource)
     spark.dataSource.register(ZarrSink)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    for name, table in (("read_geo", CellTable), ("plan_read_geo", PlanCells), ("read_zarr_metadata", MetadataTable)):
-        spark.udtf.register(name, table)
+    allowed = os.environ.get(ALLOW) or os.getcwd()
+    if getattr(spark, "_gridloom_allowed", None) != allowed:
+        for name, function in functions(allowed).items():
+            spark.udtf.register(name, function)
+        spark._gridloom_allowed = allowed

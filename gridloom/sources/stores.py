@@ -29,6 +29,12 @@ def checked(uri: str) -> str:
     return path
 
 
+def permit(folders: str | None) -> None:
+    """Allow what the driver allows, in a process that it has started."""
+    if folders:
+        os.environ[ALLOW] = folders
+
+
 @dataclass
 class Traffic:
     """What a store has read, for tests and reports."""

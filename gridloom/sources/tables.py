@@ -7,13 +7,14 @@ A table function over constants runs in one task: for large reads register
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import udtf  # noqa: F401
+from pyspark.sql.functions import udtf
 from pyspark.sql.types import LongType, StringType, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..plans.constraints import Constraints, parse_pins
 from .arrays import ArrayInfo
 from .resolve import open_source
+from .stores import permit
 
 ARGUMENTS = ["uri", "lat_min", "lat_max", "lon_min", "lon_max", "time_min", "time_max", "pins", "asset"]
 TYPE_NAMES = {"bool": "Bool", "string": "String"}
@@ -61,42 +62,46 @@ def _given(args: tuple, named: dict) -> dict:
     return both
 
 
-class CellTable:
-    @staticmethod
-    def analyze(*args: AnalyzeArgument, **named: AnalyzeArgument) -> AnalyzeResult:
-        given = {k: a.value for k, a in _given(args, named).items()}
-        return AnalyzeResult(open_source(given["uri"], _bounds(given), given.get("asset")).schema())
-
-    def eval(self, *args, **named):
-        from .cells import CellReader
-
-        given = _given(args, named)
-        uri = given.pop("uri")
-        info = open_source(uri, _bounds(given), given.get("asset"))
-        reader = CellReader(info, info.schema(), {k: str(v) for k, v in given.items() if v is not None})
-        for part in reader.partitions():
-            for batch in reader.read(part):
-                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-
-class PlanCells:
-    @staticmethod
-    def analyze(*args: AnalyzeArgument, **named: AnalyzeArgument) -> AnalyzeResult:
-        return AnalyzeResult(PLAN_SCHEMA)
-
-    def eval(self, *args, **named):
-        given = _given(args, named)
-        yield plan(given.pop("uri"), **given)
-
-
-class MetadataTable:
-    @staticmethod
-    def analyze(*args: AnalyzeArgument, **named: AnalyzeArgument) -> AnalyzeResult:
-        return AnalyzeResult(METADATA_SCHEMA)
-
-    def eval(self, *args, **named):
-        given = _given(args, named)
-        yield describe(given["uri"], given.get("asset"))
-
-
-CellTable, PlanCells, MetadataTable = udtf(CellTable), udtf(PlanCells), udtf(MetadataTable)
+def functions(allowed: str) -> dict:
+    """The table functions by name, for what a driver allows; their processes don't have its environment."""
+
+    class CellTable:
+        @staticmethod
+        def analyze(*args: AnalyzeArgument, **named: AnalyzeArgument) -> AnalyzeResult:
+            permit(allowed)
+            given = {k: a.value for k, a in _given(args, named).items()}
+            return AnalyzeResult(open_source(given["uri"], _bounds(given), given.get("asset")).schema())
+
+        def eval(self, *args, **named):
+            from .cells import CellReader
+
+            permit(allowed)
+            given = _given(args, named)
+            uri = given.pop("uri")
+            info = open_source(uri, _bounds(given), given.get("asset"))
+            reader = CellReader(info, info.schema(), {k: str(v) for k, v in given.items() if v is not None})
+            for part in reader.partitions():
+                for batch in reader.read(part):
+                    yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    class PlanCells:
+        @staticmethod
+        def analyze(*args: AnalyzeArgument, **named: AnalyzeArgument) -> AnalyzeResult:
+            return AnalyzeResult(PLAN_SCHEMA)
+
+        def eval(self, *args, **named):
+            permit(allowed)
+            given = _given(args, named)
+            yield plan(given.pop("uri"), **given)
+
+    class MetadataTable:
+        @staticmethod
+        def analyze(*args: AnalyzeArgument, **named: AnalyzeArgument) -> AnalyzeResult:
+            return AnalyzeResult(METADATA_SCHEMA)
+
+        def eval(self, *args, **named):
+            permit(allowed)
+            given = _given(args, named)
+            yield describe(given["uri"], given.get("asset"))
+
+    return {"read_geo": udtf(CellTable), "plan_read_geo": udtf(PlanCells), "read_zarr_metadata": udtf(MetadataTable)}
