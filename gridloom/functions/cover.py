@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-from .geometry import Geometry, bounds, contains, edges, overlap, touches
+from .geometry import Edges, Geometry, bounds, contains, overlap, touches
 
+#: Candidate cells that are tested at a time.
+CELLS = 1 << 18
 CONVENTIONS = ("centroid", "all_touched", "area_weighted")
 
 
@@ -20,47 +23,121 @@ class Axis:
 
     def __post_init__(self):
         n = self.centres.size
+        steps = np.diff(self.centres)
+        self.rising = bool((steps > 0).all())
+        self.monotonic = self.rising or bool((steps < 0).all())
         self.order = np.argsort(self.centres, kind="stable")
         self.sorted = self.centres[self.order]
         if self.step is None:
             # A single cell has no neighbour to tell its width from.
             self.step = float(self.sorted[-1] - self.sorted[0]) / (n - 1) if n > 1 else 0.0
 
+    def clip(self, a: np.ndarray, b: np.ndarray, window: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Places within a half-open window of indices."""
+        n = self.centres.size
+        low, high = window if self.rising else (n - window[1], n - window[0])
+        return np.maximum(a, low), np.minimum(b, high)
+
+    def span(self, low: np.ndarray, high: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places, in rising order of the centres, of the cells within a margin of each range; half-open."""
+        return np.searchsorted(self.sorted, low - margin, "left"), np.searchsorted(self.sorted, high + margin, "right")
+
     def near(self, low: float, high: float, margin: float) -> np.ndarray:
         """Indices of cells whose centre is within a margin of the range."""
-        return self.order[np.searchsorted(self.sorted, low - margin, "left") : np.searchsorted(self.sorted, high + margin, "right")]
+        a, b = self.span(np.array([low]), np.array([high]), margin)
+        return self.order[a[0] : b[0]]
+
+
+def margins(convention: str, ys: Axis, xs: Axis) -> tuple[float, float]:
+    half = 0.0 if convention == "centroid" else 0.5 * (1 + 1e-9)
+    return half * ys.step, half * xs.step
 
 
-def cover(geometry: Geometry, ys: Axis, xs: Axis, convention: str, rows: tuple[int, int] | None = None, columns: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(iy, ix, weight) of the covered cells, within half-open windows of indices if given.
+def cover_many(
+    shapes: list[Geometry],
+    ys: Axis,
+    xs: Axis,
+    convention: str,
+    rows: tuple[int, int] | None = None,
+    columns: tuple[int, int] | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(shape, iy, ix, weight) of the cells that each shape covers, in parts of bounded size.
 
     centroid: the centre is inside.  all_touched: the closed cell meets the
-    closed footprint.  area_weighted: as that, the weight being the common area.
+    closed footprint.  area_weighted: as that, the weight being the common
+    area.  ``rows`` and ``columns`` are half-open windows of indices.  A
+    shape's cells come together, unless it alone has more than a part.
     """
-    none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    box = bounds(geometry)
-    if box is None:
-        return none
-    half = 0.0 if convention == "centroid" else 0.5
-    slack = 1e-9 if half else 0.0
-    iy = ys.near(box[1], box[3], half * ys.step * (1 + slack))
-    ix = xs.near(box[0], box[2], half * xs.step * (1 + slack))
-    if rows is not None:
-        iy = iy[(iy >= rows[0]) & (iy < rows[1])]
-    if columns is not None:
-        ix = ix[(ix >= columns[0]) & (ix < columns[1])]
-    if not iy.size or not ix.size:
-        return none
-    iy, ix = np.repeat(iy, ix.size), np.tile(ix, iy.size)
+    boxes = [bounds(s) for s in shapes]
+    known = np.array([k for k, b in enumerate(boxes) if b is not None], np.int64)
+    if not known.size:
+        return
+    edge = np.array([boxes[k] for k in known])
+    my, mx = margins(convention, ys, xs)
+    y0, y1 = ys.span(edge[:, 1], edge[:, 3], my)
+    x0, x1 = xs.span(edge[:, 0], edge[:, 2], mx)
+    # A window of indices is one of places too, as an axis only ever rises or falls.
+    if rows is not None and ys.monotonic:
+        y0, y1 = ys.clip(y0, y1, rows)
+    if columns is not None and xs.monotonic:
+        x0, x1 = xs.clip(x0, x1, columns)
+    ny, nx = np.maximum(y1 - y0, 0), np.maximum(x1 - x0, 0)
+    counts = ny * nx
+    sizes = np.array([sum(len(r) for p in shapes[k] for r in p) for k in known])
+    todo = np.flatnonzero(counts)
+    todo = todo[np.argsort(sizes[todo], kind="stable")]
+    start = 0
+    while start < todo.size:
+        stop = start + max(1, int(np.searchsorted(np.cumsum(counts[todo[start:]]), CELLS, "right")))
+        some = todo[start:stop]
+        start = stop
+        total = counts[some]
+        which = np.repeat(np.arange(some.size), total)
+        if total.sum() > 4 * CELLS:  # one huge shape: by stretches of its rows
+            k = int(some[0])
+            step = max(1, CELLS // int(nx[k]))
+            stretches = [(a, min(a + step, int(y1[k]))) for a in range(int(y0[k]), int(y1[k]), step)]
+        else:
+            stretches = [None]
+        e = Edges([shapes[known[k]] for k in some])
+        for stretch in stretches:
+            if stretch is None:
+                local = np.arange(which.size) - np.repeat(np.cumsum(total) - total, total)
+                wide = nx[some][which]
+                at_y, at_x = y0[some][which] + local // wide, x0[some][which] + local % wide
+            else:
+                at_y = np.repeat(np.arange(*stretch), int(nx[k]))
+                at_x = np.tile(np.arange(int(x0[k]), int(x1[k])), stretch[1] - stretch[0])
+                which = np.zeros(at_y.size, np.int64)
+            iy, ix = ys.order[at_y], xs.order[at_x]
+            keep = np.ones(iy.size, bool)
+            if rows is not None and not ys.monotonic:
+                keep &= (iy >= rows[0]) & (iy < rows[1])
+            if columns is not None and not xs.monotonic:
+                keep &= (ix >= columns[0]) & (ix < columns[1])
+            got = [a[keep] for a in (which, iy, ix)] if not keep.all() else [which, iy, ix]
+            got = _tested(e, *got, ys, xs, convention)
+            if got[0].size:
+                yield known[some][got[0]], *got[1:]
+
+
+def _tested(e: Edges, which, iy, ix, ys: Axis, xs: Axis, convention: str):
     y, x = ys.centres[iy], xs.centres[ix]
-    e = edges(geometry)
     if convention == "centroid":
-        keep = contains(e, x, y)
-        return iy[keep], ix[keep], np.ones(int(keep.sum()))
+        keep = contains(e, which, x, y)
+        return which[keep], iy[keep], ix[keep], np.ones(int(keep.sum()))
     hy, hx = ys.step / 2, xs.step / 2
     if not hy or not hx:
-        return none
-    keep = touches(e, x - hx, x + hx, y - hy, y + hy)
-    iy, ix, y, x = iy[keep], ix[keep], y[keep], x[keep]
-    weight = overlap(geometry, x - hx, x + hx, y - hy, y + hy) if convention == "area_weighted" else np.ones(iy.size)
-    return iy, ix, weight
+        return which[:0], iy[:0], ix[:0], np.empty(0)
+    keep = touches(e, which, x - hx, x + hx, y - hy, y + hy)
+    which, iy, ix, y, x = which[keep], iy[keep], ix[keep], y[keep], x[keep]
+    weight = overlap(e, which, x - hx, x + hx, y - hy, y + hy) if convention == "area_weighted" else np.ones(iy.size)
+    return which, iy, ix, weight
+
+
+def cover(geometry: Geometry, ys: Axis, xs: Axis, convention: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(iy, ix, weight) of the cells that one shape covers."""
+    parts = [p[1:] for p in cover_many([geometry], ys, xs, convention)]
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))

@@ -2,8 +2,8 @@
 
 A geometry is a list of polygons, a polygon a list of rings (the first is the
 outer one), a ring an (n, 2) array of x and y whose last point is its first.
-Tests work on all edges at once: parity takes care of holes and of several
-polygons.
+Tests take many cells at once, each with the geometry that it is tested against;
+parity takes care of holes and of several polygons.
 """
 
 from __future__ import annotations
@@ -11,15 +11,12 @@ from __future__ import annotations
 import json
 import re
 import struct
-from collections.abc import Iterable
 
 import numpy as np
 
 Ring = np.ndarray
 Geometry = list[list[Ring]]
 
-#: Elements of an edges-by-cells matrix at most.
-MATRIX = 1 << 21
 
 
 def _ring(points) -> Ring:
@@ -114,14 +111,6 @@ def point_of(data: bytes | None) -> tuple[float, float] | None:
     return struct.unpack_from(order + "dd", data, 5) if (kind & 0xFFFF) % 1000 == 1 else None
 
 
-def edges(geometry: Geometry) -> np.ndarray:
-    """All edges as rows of x1, y1, x2, y2."""
-    rings = [r for p in geometry for r in p if len(r) > 1]
-    if not rings:
-        return np.empty((0, 4))
-    return np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
-
-
 def bounds(geometry: Geometry) -> tuple[float, float, float, float] | None:
     """x and y at least, x and y at most."""
     rings = [p[0] for p in geometry if p and len(p[0])]
@@ -160,79 +149,83 @@ def centroid(geometry: Geometry) -> tuple[float, float] | None:
     return None if box is None else ((box[0] + box[2]) / 2, (box[1] + box[3]) / 2)
 
 
-def _pieces(n_edges: int, n: int) -> Iterable[slice]:
-    step = max(1, MATRIX // max(1, n_edges))
-    return (slice(a, a + step) for a in range(0, n, step))
-
-
-def contains(e: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which points are inside; those on the boundary aren't."""
-    out = np.zeros(x.size, bool)
-    x1, y1, x2, y2 = (e[:, k, None] for k in range(4))
-    for s in _pieces(len(e), x.size):
-        px, py = x[None, s], y[None, s]
-        side = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
-        spans = (y1 > py) != (y2 > py)
-        odd = (spans & ((side > 0) == (y2 > y1))).sum(axis=0) & 1
-        on = (side == 0) & (np.minimum(x1, x2) <= px) & (px <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= py) & (py <= np.maximum(y1, y2))
-        out[s] = (odd == 1) & ~on.any(axis=0)
-    return out
+class Edges:
+    """The edges of many geometries, as arrays of (geometry, edge).
 
+    Outer rings run clockwise and holes the other way.  Rows are filled up with
+    edges of no length, which no test notices.
+    """
 
-def touches(e: np.ndarray, x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
-    """Which closed boxes meet the closed geometry, be it in one point."""
-    out = contains(e, (x0 + x1) / 2, (y0 + y1) / 2)
-    ax, ay, bx, by = (e[:, k, None] for k in range(4))
-    todo = np.flatnonzero(~out)
-    for s in _pieces(len(e), todo.size):
-        k = todo[s]
-        lx, hx, ly, hy = x0[None, k], x1[None, k], y0[None, k], y1[None, k]
+    def __init__(self, shapes: list[Geometry]):
+        rows = []
+        for shape in shapes:
+            rings = [r if (_signed(r) < 0) == (k == 0) else r[::-1] for p in shape for k, r in enumerate(p) if len(r) > 1]
+            rows.append(np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings]) if rings else np.empty((0, 4)))
+        self.counts = np.array([len(r) for r in rows], np.int64)
+        most = int(self.counts.max(initial=0))
+        self.all = np.zeros((4, most, len(rows)))
+        for k, r in enumerate(rows):
+            if len(r):
+                self.all[:, : len(r), k] = r.T
+                self.all[:, len(r) :, k] = np.tile(r[-1, 2:], 2)[:, None]
+
+    def each(self, which: np.ndarray):
+        """x1, y1, x2, y2 of one edge after the other, for the geometry of each cell."""
+        for k in range(self.all.shape[1]):
+            yield self.all[:, k][:, which]
+
+
+def contains(e: Edges, which: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether each point is inside its geometry; on the boundary it isn't."""
+    odd, on = np.zeros(x.size, bool), np.zeros(x.size, bool)
+    for x1, y1, x2, y2 in e.each(which):
+        side = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+        odd ^= ((y1 > y) != (y2 > y)) & ((side > 0) == (y2 > y1))
+        line = side == 0
+        if line.any():
+            on |= line & (np.minimum(x1, x2) <= x) & (x <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= y) & (y <= np.maximum(y1, y2))
+    return odd & ~on
+
+
+def touches(e: Edges, which: np.ndarray, x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+    """Whether each closed box meets its closed geometry, be it in one point."""
+    out = contains(e, which, (x0 + x1) / 2, (y0 + y1) / 2)
+    for ax, ay, bx, by in e.each(which):
         # An edge misses a box if a side of the box, or the edge's own line, parts them.
-        apart = (np.maximum(ax, bx) < lx) | (np.minimum(ax, bx) > hx) | (np.maximum(ay, by) < ly) | (np.minimum(ay, by) > hy)
-        dx, dy = bx - ax, by - ay
-        near = dx * (np.where(dx < 0, hy, ly) - ay) - dy * (np.where(dy > 0, hx, lx) - ax)
-        far = dx * (np.where(dx < 0, ly, hy) - ay) - dy * (np.where(dy > 0, lx, hx) - ax)
-        apart |= (near > 0) | (far < 0)
-        out[k] = (~apart).any(axis=0)
+        near = (np.maximum(ax, bx) >= x0) & (np.minimum(ax, bx) <= x1) & (np.maximum(ay, by) >= y0) & (np.minimum(ay, by) <= y1) & ~out
+        k = np.flatnonzero(near)
+        if not k.size:
+            continue
+        ax, ay, dx, dy = ax[k], ay[k], (bx - ax)[k], (by - ay)[k]
+        lx, hx, ly, hy = x0[k], x1[k], y0[k], y1[k]
+        least = dx * (np.where(dx < 0, hy, ly) - ay) - dy * (np.where(dy > 0, hx, lx) - ax)
+        most = dx * (np.where(dx < 0, ly, hy) - ay) - dy * (np.where(dy > 0, lx, hx) - ax)
+        out[k] |= (least <= 0) & (most >= 0)
     return out
 
 
-def overlap(geometry: Geometry, x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
-    """Area of the geometry within each box.
+def overlap(e: Edges, which: np.ndarray, x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+    """Area of each box within its geometry.
 
     Along an edge, the height that a box sees of it is its y held to the box's
-    range; the signed integral of that over the box's width, summed over the
-    edges of rings that run one way outside and the other way in holes, is the
-    area.
+    range; the signed integral of that over the box's width, summed over all
+    edges, is the area.
     """
-    rings = []
-    for p in geometry:
-        for k, r in enumerate(p):
-            if len(r) > 2:
-                rings.append(r if (_signed(r) < 0) == (k == 0) else r[::-1])  # outer rings clockwise
     out = np.zeros(x0.size)
-    if not rings:
-        return out
-    e = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
-    e = e[e[:, 0] != e[:, 2]]
-    ax, ay, bx, by = (e[:, k, None] for k in range(4))
-    slope = (by - ay) / (bx - ax)
-    sign = np.sign(bx - ax)
-    for s in _pieces(len(e), x0.size):
-        lx, hx = x0[None, s], x1[None, s]
-        base = y0[None, s]
-        top = y1[None, s] - base
-        left, right = np.maximum(np.minimum(ax, bx), lx), np.minimum(np.maximum(ax, bx), hx)
-        width = np.maximum(right - left, 0)
+    for ax, ay, bx, by in e.each(which):
+        left, right = np.maximum(np.minimum(ax, bx), x0), np.minimum(np.maximum(ax, bx), x1)
+        k = np.flatnonzero(right > left)
+        if not k.size:
+            continue
+        left, right, base, top = left[k], right[k], y0[k], (y1 - y0)[k]
+        ax, ay, run = ax[k], ay[k], (bx - ax)[k]
+        slope = (by[k] - ay) / run
         p, q = ay + slope * (left - ax) - base, ay + slope * (right - ax) - base
-
-        def held(t, top=top):
-            """The integral of t held to 0 .. top."""
-            inner = np.clip(t, 0, top)
-            return inner * inner / 2 + np.maximum(t - top, 0) * top
-
+        # The integral of a height held to 0 .. top, up to p and to q.
+        inner_p, inner_q = np.clip(p, 0, top), np.clip(q, 0, top)
+        grown = (inner_q**2 - inner_p**2) / 2 + (np.maximum(q - top, 0) - np.maximum(p - top, 0)) * top
         rise = q - p
-        flat = np.abs(rise) < 1e-12 * np.maximum(top, 1e-300)
-        mean = np.where(flat, np.clip((p + q) / 2, 0, top), (held(q) - held(p)) / np.where(flat, 1, rise))
-        out[s] = (sign * width * mean).sum(axis=0)
+        flat = np.abs(rise) < 1e-12 * top
+        mean = np.where(flat, (inner_p + inner_q) / 2, grown / np.where(flat, 1, rise))
+        out[k] += np.sign(run) * (right - left) * mean
     return np.maximum(out, 0)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cover import cover
+from ..functions.cover import cover_many
 from ..functions.geometry import from_wkb
 from ..plans.constraints import Constraints, parse_pins
 from ..sources.cells import read_geo
@@ -33,12 +33,9 @@ def cover_cells(features: DataFrame, grid: Grid, convention: str = "centroid", k
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            geoms = batch.column(len(keys)).to_pylist()
-            for k, geom in enumerate(geoms):
-                iy, ix, w = cover(from_wkb(geom), grid.ys, grid.xs, convention)
-                if not iy.size:
-                    continue
-                at = pa.array([k] * iy.size)
+            shapes = [from_wkb(g) for g in batch.column(len(keys)).to_pylist()]
+            for which, iy, ix, w in cover_many(shapes, grid.ys, grid.xs, convention):
+                at = pa.array(which)
                 yield pa.RecordBatch.from_arrays([*[batch.column(j).take(at) for j in range(len(keys))], pa.array(iy), pa.array(ix), pa.array(w)], [*keys, *schema.names[1:]])
 
     return features.select(*keys, "geom").mapInArrow(part, ddl)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cover import CONVENTIONS, cover
+from ..functions.cover import CONVENTIONS, cover_many, margins
 from ..functions.geometry import bounds, from_wkb
 from ..plans.constraints import Constraints, parse_pins
 from ..sources.arrays import ArrayInfo
@@ -53,23 +53,30 @@ def footprint_chunks(features: DataFrame, info: ArrayInfo, grid: Grid, conventio
     """k1, k2, geom and the (cy, cx) of each chunk that the footprint's box meets."""
     dy, dx = info.dims.index(grid.y), info.dims.index(grid.x)
     chunk_y, chunk_x = info.chunk[dy], info.chunk[dx]
-    half = 0.0 if convention == "centroid" else 0.5
+    my, mx = margins(convention, grid.ys, grid.xs)
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("geom", pa.binary()), ("cy", pa.int32()), ("cx", pa.int32())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
-            for k1, k2, geom in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                box = bounds(from_wkb(geom))
-                if box is None:
-                    continue
-                iy = grid.ys.near(box[1], box[3], half * grid.ys.step * (1 + 1e-9))
-                ix = grid.xs.near(box[0], box[2], half * grid.xs.step * (1 + 1e-9))
-                for cy in np.unique(iy // chunk_y):
-                    for cx in np.unique(ix // chunk_x):
-                        for column, value in zip(rows, (k1, k2, geom, int(cy), int(cx)), strict=True):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
+            boxes = [bounds(from_wkb(g)) for g in batch.column(2).to_pylist()]
+            known = np.array([k for k, x in enumerate(boxes) if x is not None], np.int64)
+            if not known.size:
+                continue
+            edge = np.array([boxes[k] for k in known])
+            spans = []
+            for axis, low, high, margin, size in ((grid.ys, 1, 3, my, chunk_y), (grid.xs, 0, 2, mx, chunk_x)):
+                first, last = axis.span(edge[:, low], edge[:, high], margin)
+                some = last > first
+                ends = np.stack([axis.order[np.minimum(first, axis.order.size - 1)], axis.order[np.maximum(last - 1, 0)]]) // size
+                spans.append((some, ends.min(axis=0), ends.max(axis=0)))
+            (sy, y0, y1), (sx, x0, x1) = spans
+            ny, nx = y1 - y0 + 1, x1 - x0 + 1
+            total = np.where(sy & sx, ny * nx, 0)
+            which = np.repeat(np.arange(known.size), total)
+            local = np.arange(which.size) - np.repeat(np.cumsum(total) - total, total)
+            at = pa.array(known[which])
+            rows = [batch.column(i).take(at) for i in range(3)] + [y0[which] + local // nx[which], x0[which] + local % nx[which]]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
 
     return features.select("k1", "k2", "geom").mapInArrow(part, "k1 long, k2 long, geom binary, cy int, cx int")
 
@@ -112,29 +119,41 @@ def partial_stats(placed: DataFrame, info: ArrayInfo, grid: Grid, convention: st
                     groups = [(float(t), lead[i].reshape(-1, *values.shape[-2:])) for i, t in enumerate(times)]
                 yield groups, inside[dy], inside[dx]
 
+    def chunk_rows(held, k1: np.ndarray, k2: np.ndarray, shapes: list) -> Iterator[pa.RecordBatch]:
+        """Partial aggregates of the footprints at one chunk."""
+        for groups, ys, xs in held:
+            for which, iy, ix, w in cover_many(shapes, grid.ys, grid.xs, convention, ys, xs):
+                # Cells of a footprint stand together.
+                starts = np.flatnonzero(np.diff(which, prepend=-1))
+                ids = which[starts]
+                for t, values in groups:
+                    got = values[:, iy - ys[0], ix - xs[0]]
+                    there = ~np.isnan(got)
+                    n = there.sum(axis=0)
+                    total = np.where(there, got, 0).sum(axis=0)
+                    counts = np.add.reduceat(n, starts)
+                    columns = [
+                        k1[ids], k2[ids], np.full(ids.size, np.nan if t is None else t), counts,
+                        np.minimum.reduceat(np.where(there, got, np.inf).min(axis=0), starts), np.maximum.reduceat(np.where(there, got, -np.inf).max(axis=0), starts),
+                        np.add.reduceat(total, starts), np.add.reduceat(n * w, starts), np.add.reduceat(total * w, starts),
+                    ]
+                    some = counts > 0
+                    if some.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(c[some], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, held = None, []
         for batch in batches:
-            rows: list[tuple] = []
-            for k1, k2, geom, cy, cx in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if here != (cy, cx):
-                    here, held = (cy, cx), list(slabs(cy, cx))
-                shape = from_wkb(geom)
-                for groups, ys, xs in held:
-                    iy, ix, w = cover(shape, grid.ys, grid.xs, convention, ys, xs)
-                    if not iy.size:
-                        continue
-                    for t, values in groups:
-                        got = values[:, iy - ys[0], ix - xs[0]]
-                        there = ~np.isnan(got)
-                        n = int(there.sum())
-                        if not n:
-                            continue
-                        some = got[there]
-                        weights = np.broadcast_to(w, got.shape)[there]
-                        rows.append((k1, k2, t, n, float(some.min()), float(some.max()), float(some.sum()), float(weights.sum()), float((some * weights).sum())))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            if not batch.num_rows:
+                continue
+            k1, k2, cy, cx = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
+            geoms = batch.column(2).to_pylist()
+            cuts = np.flatnonzero((np.diff(cy, prepend=-1) != 0) | (np.diff(cx, prepend=-1) != 0))
+            for a, b in zip(cuts, [*cuts[1:], len(cy)], strict=True):
+                if here != (cy[a], cx[a]):
+                    here = (int(cy[a]), int(cx[a]))
+                    held = list(slabs(*here))
+                yield from chunk_rows(held, k1[a:b], k2[a:b], [from_wkb(g) for g in geoms[a:b]])
 
     return placed.select("k1", "k2", "geom", "cy", "cx").mapInArrow(part, PARTIAL_DDL)
 
