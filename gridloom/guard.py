@@ -69,7 +69,7 @@ def check(sql: str) -> str:
         after = found[k + 1] if k + 1 < len(found) else ("other", "")
         before = found[k - 1] if k else ("other", "")
         # As a column or an alias the word is harmless; before another word or name it is a command.
-        if after[0] in ("word", "name", "text") and not (before[0] == "word" and before[1].upper() in ("AS", "BY", "SELECT")):
+        if before[1] != "." and after[0] in ("word", "name", "text") and not (before[0] == "word" and before[1].upper() in ("AS", "BY", "SELECT")):
             raise Rejected(f"{text.upper()} may not be used")
     for (_, a), (_, b), (kind, _) in zip(found, found[1:], found[2:], strict=False):
         if a.upper() in FILES and b == "." and kind == "name":

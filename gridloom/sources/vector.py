@@ -74,16 +74,12 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     """Properties as columns, then ``geom``.  ``lines``: a feature per line, which is read in parallel."""
     schema = "type string, features array<string>, geometry string, properties string"
     docs = spark.read.schema(schema).json(path, multiLine=not lines)
-    inner = F.from_json(F.explode_outer("features"), "geometry string, properties string")
-    nested = docs.where("features IS NOT NULL").select(inner.alias("f")).select("f.geometry", "f.properties").where("geometry IS NOT NULL OR properties IS NOT NULL")
-    single = docs.where("features IS NULL").select(F.coalesce("geometry", F.lit(None)).alias("geometry"), "properties")
-    features = nested if not lines else single.unionByName(nested)
-    if not lines:
-        features = nested.unionByName(single.where("geometry IS NOT NULL"))
+    inner = F.from_json("feature", "geometry string, properties string")
+    nested = docs.where("features IS NOT NULL").select(F.explode("features").alias("feature")).select(inner.alias("f")).select("f.geometry", "f.properties")
+    single = docs.where("type = 'Feature'").select("geometry", "properties")
+    features = nested.unionByName(single)
     types = property_types(features)
-    typed = T.StructType()
-    for k, t in types.items():
-        typed.add(k, t)
+    typed = ", ".join(f"`{k.replace('`', '``')}` {t}" for k, t in types.items())
     if types:
         features = features.select(F.from_json("properties", typed).alias("p"), "geometry").select(*[F.col("p").getField(k).alias(k) for k in types], "geometry")
     else:

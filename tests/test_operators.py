@@ -20,7 +20,7 @@ from gridloom.sources.zarr_sink import export_zarr
 from gridloom.tools import TimedOut, Tools, serve
 
 TWELVE = [(t, lat, lon, float(2 + 4 * k + 2 * i + j)) for k, t in enumerate((0, 86400, 172800)) for i, lat in enumerate((10.0, 20.0)) for j, lon in enumerate((30.0, 40.0))]
-SQUARE = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"name": "box", "n": 1}, "geometry": {"type": "Polygon", "coordinates": [[[31, 9], [41, 9], [41, 21], [31, 21], [31, 9]]]}}]}
+SQUARE = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"name": "box", "a": 1}, "geometry": {"type": "Polygon", "coordinates": [[[31, 9], [41, 9], [41, 21], [31, 21], [31, 9]]]}}]}
 
 
 @pytest.fixture
@@ -46,7 +46,7 @@ def test_resample_values_and_refusals(spark):
 
 def test_zonal_rules(spark, grid):
     uri, shapes = str(grid / "g.zarr"), str(grid / "p.geojson")
-    assert [tuple(r) for r in zonal_stats(spark, uri, shapes, "max").collect()] == [("box", 1, 13.0)]
+    assert [tuple(r) for r in zonal_stats(spark, uri, shapes, "max").collect()] == [(1, "box", 13.0)]
     touched = zonal_stats(spark, uri, shapes, "mean", "all_touched").first()["metric"]
     assert touched == np.mean([r[3] for r in TWELVE])
     by_time = zonal_stats(spark, uri, shapes, "min", by_time=True).orderBy("time").collect()
@@ -148,7 +148,7 @@ def test_tools(spark, grid):
     assert tools.run_sql("CREATE TEMP TABLE mine AS SELECT 1 AS a") == {"status": "ok"}
     assert "mine" in [t["name"] for t in tools.list_tables()["tables"]]
     assert tools.describe_table("mine")["sample"] == [{"a": 1}]
-    assert tools.zonal_stats(uri, str(grid / "p.geojson"), "max")["rows"] == [["box", 1, 13.0]]
+    assert tools.zonal_stats(uri, str(grid / "p.geojson"), "max")["rows"] == [[1, "box", 13.0]]
     assert tools.extract_point_timeseries(uri, 10, 30)["method"] == "nearest"
     for bad in (lambda: tools.describe_table("a b"), lambda: tools.run_sql("DROP VIEW mine")):
         with pytest.raises(ValueError):
