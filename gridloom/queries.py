@@ -302,7 +302,7 @@ def _(spark, sf):
 
 @query("polygon_max", f"{WITH}SELECT name, max(value) AS peak FROM l, {SQL_RECTANGLES} WHERE lon > w AND lon < e AND lat > s AND lat < n GROUP BY name")
 def _(spark, sf):
-    return extract(spark, lattice(spark, sf), rectangles(spark)).groupBy("name").agg(F.max("value").alias("peak"))
+    return extract(spark, lattice(spark, sf), rectangles(spark)).where("value IS NOT NULL").groupBy("name").agg(F.max("value").alias("peak"))
 
 
 SQL_METRICS = {"max": "max(value)", "min": "min(value)", "mean": "avg(value)", "sum": "sum(value)", "count": "count(value)"}
@@ -342,7 +342,7 @@ def _(spark, sf):
     return zonal_stats(spark, lattice(spark, sf), shapes(spark), "mean", "centroid")
 
 
-@query("bbox_block_candidates", f"{WITH}SELECT name, count(*) AS cells FROM (SELECT DISTINCT lat, lon FROM l WHERE true), {SQL_RECTANGLES} WHERE {TOUCHED} GROUP BY name")
+@query("bbox_block_candidates", f"WITH l AS (SELECT 40 + 0.5 * a.i AS lat, -100 + 0.5 * b.i AS lon FROM range(20) a(i), range(24) b(i)) SELECT name, count(*) AS cells FROM l, {SQL_RECTANGLES} WHERE {TOUCHED} GROUP BY name")
 def _(spark, sf):
     return box_candidates(rectangles(spark), grid_of(open_source(lattice(spark, sf))), ("name",)).groupBy("name").agg(F.count("*").alias("cells"))
 
