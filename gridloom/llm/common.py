@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -60,6 +61,31 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle_round(df: DataFrame) -> DataFrame:
+    """``settle`` for the rounds of a loop: without the estimated size.
+
+    A checkpoint hands on the size that the optimizer expected, and a join's is
+    the product of its inputs'.  Over a loop's rounds that number would get
+    millions of digits and fill the driver.
+    """
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    settled = settle(df)._jdf
+    spark = df.sparkSession
+    rows = settled.queryExecution().toRdd()
+    return Classic(spark._jsparkSession.internalCreateDataFrame(rows, settled.schema(), False), spark)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of rounds that are over.
+
+    It does so when the driver's JVM finds them unreachable, which on a large
+    heap can be long after a loop has filled the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, partitions, pick, settle, slices, table
+from .common import WORD, partitions, pick, settle_round, slices, table, tidy
 
 MIN_WORDS = 50
 #: Deletions of up to so many documents and lines are broadcast to the texts; more are joined by a shuffle.
@@ -120,8 +120,8 @@ def numbered(lines: DataFrame) -> DataFrame:
 
 def named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The (settled) rows whose key repeats, with the key's first position as name."""
-    repeated = settle(rows.groupBy(*keys).agg(F.min("pos").alias("name"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    return settle(rows.join(repeated, keys).drop(*keys))
+    repeated = settle_round(rows.groupBy(*keys).agg(F.min("pos").alias("name"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    return settle_round(rows.join(repeated, keys).drop(*keys))
 
 
 def later_runs(lines: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def later_runs(lines: DataFrame) -> DataFrame:
     # A run that ends at a line is wanted where it starts.
     ends = lines.where("back > 0").select("doc", "tie", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("length"))
     starts = lines.where("ahead > 0").select(*at, F.col("ahead").alias("length"))
-    wanted = settle(level.join(starts.unionByName(ends).distinct(), at).select(*at, "length"))
+    wanted = settle_round(level.join(starts.unionByName(ends).distinct(), at).select(*at, "length"))
     out: list[DataFrame] = []
     size = 1
     while True:
@@ -139,24 +139,25 @@ def later_runs(lines: DataFrame) -> DataFrame:
         runs = wanted.where(F.col("length") < 2 * size).join(level, at)
         last = level.select("doc", "tie", F.col("i").alias("end"), F.col("name").alias("end_name"))
         runs = runs.withColumn("end", F.col("i") + F.col("length") - size).join(last, ["doc", "tie", "end"])
-        runs = settle(runs.select(*at, "pos", "length", "length", "name", "end_name").toDF(*at, "pos", "length", "k", "first", "second"))
+        runs = settle_round(runs.select(*at, "pos", "length", "length", "name", "end_name").toDF(*at, "pos", "length", "k", "first", "second"))
         out.append(named(runs, ["k", "first", "second"]).where("pos > name").select(*at, "length"))
         wanted = wanted.where(F.col("length") >= 2 * size)
         if not wanted.head(1):
             break
         second = level.select("doc", "tie", (F.col("i") - size).alias("i"), F.col("name").alias("second"))
         pairs = level.withColumnRenamed("name", "first").join(second, at)
-        level = named(settle(pairs), ["first", "second"])
+        level = named(settle_round(pairs), ["first", "second"])
+        tidy(lines.sparkSession)
         size *= 2
     return reduce(DataFrame.unionByName, out)
 
 
 def deleted_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """doc, tie and the lines (places in the text) that are in a later copy of a run; settled."""
-    lines = settle(numbered(line_rows(docs, min_words)))
+    lines = settle_round(numbered(line_rows(docs, min_words)))
     found = later_runs(lines).select("doc", "tie", F.explode(F.sequence("i", F.col("i") + F.col("length") - 1)).alias("i")).distinct()
     places = lines.select("doc", "tie", "i", "line").join(found, ["doc", "tie", "i"])
-    return settle(places.groupBy("doc", "tie").agg(F.sort_array(F.collect_list("line")).alias("deleted")))
+    return settle_round(places.groupBy("doc", "tie").agg(F.sort_array(F.collect_list("line")).alias("deleted")))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -6,9 +6,11 @@ the same shingle set are one class from then on.  Classes that share a band
 are candidates; a link is confirmed on the full sets.
 
 Groups of copies can be large, so a band's bucket isn't expanded into all its
-pairs.  Each bucket has a hub that its members are compared with; buckets in
-which some members stay apart get further hubs, and what is still apart after
-those is compared pair by pair.  Members that are already connected need no
+pairs.  Each bucket has a hub that its members are compared with.  Where some
+stay apart from its largest component, all those and the bucket's other members
+are compared by their sketches, a byte for each coordinate, in blocks: first each
+with the one most alike, then, when that gives no more links, all that are alike
+enough are verified.  Members that are already connected need no
 comparison, so no link between components is lost.
 """
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, pick, settle, slices, table
+from .common import partitions, pick, settle_round, slices, table, tidy
 from .fingerprints import mixed, shingles, word_hashes
 
 WORDS = 5
@@ -32,9 +34,11 @@ BANDS, ROWS = 32, 4
 UNIVERSE = 1 << 22
 #: Candidate tables of so many narrow rows are broadcast to the texts; larger ones are joined by a shuffle.
 FEW = 100_000
-#: Buckets of up to so many members are compared pair by pair at once.
-SMALL = 24
-HUB_ROUNDS = 5
+#: Members of a bucket that a task compares with as many others at a time.
+BLOCK = 4096
+SKETCH = 512
+#: Pairs whose estimated similarity is so much below the least one aren't verified: four standard deviations of the sketch.
+MARGIN = 0.08
 #: A hub's members are dealt out in parts of about so many.
 PART = 256
 
@@ -60,8 +64,15 @@ def signature(items: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def band_keys(items: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    sig = signature(items, bands * rows).reshape(bands, rows).astype(np.uint64)
+def sketch(items: np.ndarray, bands: int, rows: int) -> bytes:
+    """A byte of each of more coordinates than the bands have, then 32 bits of each band's key."""
+    sig = signature(items, max(SKETCH, bands * rows))
+    some = (sig[:SKETCH] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+    return some.tobytes() + band_keys(sig[: bands * rows], bands, rows).astype(np.uint32).tobytes()
+
+
+def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    sig = sig.reshape(bands, rows).astype(np.uint64)
     key = np.arange(1, bands + 1, dtype=np.uint64)
     for j in range(rows):
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, j] + np.uint64(1))
@@ -81,33 +92,35 @@ def signed_rows(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
             cols: list[list] = [[], [], [], []]
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 items = shingle_set(text or b"", k)
-                d = digest(items) if items.size else (None, None)
-                keys = band_keys(items, bands, rows) if items.size else None
-                for column, value in zip(cols, (items.size, *d, keys), strict=True):
+                values: tuple = (0, None, None, None)
+                if items.size:
+                    values = (items.size, *digest(items), band_keys(signature(items, bands * rows), bands, rows))
+                for column, value in zip(cols, values, strict=True):
                     column.append(value)
             yield table(schema, [batch.column(0), *cols])
 
     return docs.mapInArrow(part, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """cid and its packed shingle set, for the classes (cid, rep, d1, d2) wanted."""
+def class_sets(docs: DataFrame, wanted: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    """cid, its packed shingle set and its sketch, for the classes (cid, rep, d1, d2) wanted."""
     near = F.broadcast(wanted) if wanted.count() <= FEW else wanted
-    schema = pa.schema([("cid", pa.int64()), ("items", pa.binary())])
+    schema = pa.schema([("cid", pa.int64()), ("items", pa.binary()), ("sketch", pa.binary())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            cids, packed = [], []
+            cids, packed, sketches = [], [], []
             for text, cid, d1, d2 in zip(batch.column(0).cast(pa.binary()).to_pylist(), *(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 items = shingle_set(text or b"", k)
                 # A repeated id may stand for other texts too.
                 if items.size and digest(items) == (d1, d2):
                     cids.append(cid)
                     packed.append(items.tobytes())
-            yield table(schema, [cids, packed])
+                    sketches.append(sketch(items, bands, rows))
+            yield table(schema, [cids, packed, sketches])
 
     texts = docs.join(near, docs["doc_id"] == wanted["rep"]).select("text", "cid", "d1", "d2")
-    return texts.mapInArrow(part, "cid long, items binary").groupBy("cid").agg(F.first("items").alias("items"))
+    return texts.mapInArrow(part, "cid long, items binary, sketch binary").groupBy("cid").agg(F.first("items").alias("items"), F.first("sketch").alias("sketch"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -117,7 +130,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     set once, first in order, and its members' sets then stream past it.
     """
     n = partitions(pairs.sparkSession)
-    hubs = settle(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
+    sets = sets.select("cid", "items")
+    hubs = settle_round(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
     part_of = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
     members = pairs.join(hubs, "a").select("a", part_of, F.col("b").alias("cid")).join(sets, "cid")
     members = members.select("a", "part", F.lit(1).alias("kind"), "cid", "items")
@@ -146,67 +160,126 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def components(edges: DataFrame, most: int = 100) -> DataFrame:
-    """cid and comp, its least reachable cid, of all ends of (a, b)."""
-    both = settle(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = settle(both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("m")).select("cid", F.least("cid", "m").alias("comp")))
+    """cid and comp, its least reachable cid, of all ends of (a, b).
+
+    Each round a node takes the least label of its neighbours and itself, then
+    the label that its label has come to.
+    """
+    ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = settle_round(ends.union(ends.select("a", F.col("a").alias("b"))).distinct())
+    labels = both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("comp"))
     for _ in range(most):
-        heard = both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("heard"))
-        heard = settle(heard)
-        better = labels.join(heard, labels["cid"] == heard["a"]).select("cid", "comp", F.least("comp", "heard").alias("new"))
-        better = settle(better)
-        # A label is a member too; take over what it has come to.
-        far = better.select(F.col("cid").alias("new"), F.col("new").alias("far"))
-        jumped = settle(better.join(far, "new", "left").select("cid", "comp", F.least("new", "far").alias("new")))
-        changed = jumped.where("comp <> new").limit(1).count()
-        labels = jumped.select("cid", F.col("new").alias("comp"))
-        if not changed:
+        heard = settle_round(both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("new"), F.max(F.when(F.col("a") == F.col("b"), F.col("comp"))).alias("old")))
+        far = heard.select(F.col("a").alias("new"), F.col("new").alias("far"))
+        jumped = settle_round(heard.join(far, "new").select("a", "old", F.col("far").alias("new")))
+        labels = jumped.select(F.col("a").alias("cid"), F.col("new").alias("comp"))
+        tidy(edges.sparkSession)
+        if not jumped.where("old <> new").head(1):
             return labels
     raise RuntimeError("components did not settle")
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similarity: int) -> DataFrame | None:
+def apart_pairs(now: DataFrame, sketches: DataFrame, least: float, best: bool) -> DataFrame:
+    """Pairs (a, b) of a bucket's members in different components whose sketches are alike enough.
+
+    With ``best`` only the most alike one of each member that is outside, in one
+    bucket of four: a first look, which a call without it must follow.
+
+    ``now`` has key, cid and comp.  Members outside of a bucket's largest
+    component meet all its members, block by block: a block's sketches fit in
+    a task however large the bucket is, and only pairs that pass become rows.
+    """
+    n = partitions(now.sparkSession)
+    if best:
+        now = now.where(F.pmod("key", F.lit(4)) == 0)
+    counts = now.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    split = counts.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("largest"), F.max_by("comp", "n").alias("main")).where("n > largest")
+    split = settle_round(split)
+    now = now.join(split, "key").join(sketches, "cid").withColumn("outside", F.col("comp") != F.col("main"))
+    across, down = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil((F.col("n") - F.col("largest")) / BLOCK).cast("int")
+    now = now.withColumn("col", F.pmod(F.xxhash64("cid"), across).cast("int")).withColumn("row", F.pmod(F.xxhash64(F.lit(1), "cid"), down).cast("int"))
+    every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
+    held = now.select("key", every(down).alias("row"), "col", F.lit(0).alias("role"), "cid", "comp", "outside", "sketch")
+    asked = now.where("outside").select("key", "row", every(across).alias("col"), F.lit(1).alias("role"), "cid", "comp", "outside", "sketch")
+    rows = held.unionByName(asked).repartition(n, "key", "row", "col").sortWithinPartitions("key", "row", "col", "role")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def alike(key: int, block: list, asked: list) -> tuple[np.ndarray, np.ndarray]:
+        raw, own = (np.frombuffer(b"".join(r[3] for r in x), np.uint8).reshape(len(x), -1) for x in (block, asked))
+        have, want = raw[:, :SKETCH], own[:, :SKETCH]
+        bands, own_bands = (np.ascontiguousarray(x[:, SKETCH:]).view(np.uint32) for x in (raw, own))
+        here = int(np.argmax(own_bands[0] == np.uint32(key & 0xFFFFFFFF)))
+        cids, comps, outside = (np.array([r[i] for r in block]) for i in (0, 1, 2))
+        a, b = [], []
+        for k, (cid, comp, _, _) in enumerate(asked):
+            equal = (have == want[k]).mean(axis=1)
+            pairs = ((equal - 1 / 256) / (1 - 1 / 256) >= least) & (comps != comp)
+            if not best:
+                pairs &= ~outside | (cids > cid)  # of two members outside, one asks
+            at = np.flatnonzero(pairs)
+            if best and at.size:
+                at = at[[np.argmax(equal[at])]]
+            if not best:
+                # Of all the bands that a pair shares, the first one's bucket reports it.
+                at = at[(bands[at] == own_bands[k]).argmax(axis=1) == here]
+            a.append(np.minimum(cids[at], cid))
+            b.append(np.maximum(cids[at], cid))
+        return np.concatenate(a), np.concatenate(b)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, block, waiting = None, [], []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for key, row, col, role, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, row, col) != place:
+                    if block and waiting:
+                        found.append(alike(place[0], block, waiting))
+                    place, block, waiting = (key, row, col), [], []
+                (waiting if role else block).append(rest)
+            if found:
+                yield table(schema, [np.concatenate(x) for x in zip(*found, strict=True)])
+                found = []
+        if block and waiting:
+            yield table(schema, list(alike(place[0], block, waiting)))
+
+    return rows.mapInArrow(part, "a long, b long")
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similarity: int, bands: int, rows: int) -> DataFrame | None:
     """cid and comp of the classes that have links, from (cid, rep, d1, d2, bands)."""
     keyed = classes.select("cid", F.explode("bands").alias("key"))
-    hubs = settle(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("size")).where("size > 1"))
-    members = settle(keyed.join(hubs, "key").select("key", "cid", "hub", "size"))
-    wanted = members.select("cid").distinct().join(classes.select("cid", "rep", "d1", "d2"), "cid")
-    wanted = settle(wanted)
+    hubs = settle_round(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    members = settle_round(keyed.join(hubs, "key").select("key", "cid", "hub"))
+    wanted = settle_round(members.select("cid").distinct().join(classes.select("cid", "rep", "d1", "d2"), "cid"))
     if not wanted.head(1):
         return None
-    sets = settle(class_sets(docs, wanted, k))
-
-    tested = settle(members.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct())
-    edges = settle(verified(tested, sets, similarity))
+    sets = settle_round(class_sets(docs, wanted, k, bands, rows))
+    tidy(docs.sparkSession)
+
+    # Each member meets the hub with which it shares most buckets.
+    shared = members.where("cid <> hub").groupBy("cid", "hub").agg(F.count("*").alias("n"))
+    hub_of = shared.groupBy("cid").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("m"))
+    tested = settle_round(hub_of.select((-F.col("m.h")).alias("a"), F.col("cid").alias("b")))
+    edges = settle_round(verified(tested, sets, similarity))
+    tidy(docs.sparkSession)
     linked = components(edges)
-    for turn in range(HUB_ROUNDS + 1):
-        # Buckets whose members are in several components.
-        now = members.select("key", "cid", "size").join(linked, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        now = settle(now)
-        split = settle(now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"))
-        now = settle(now.join(split, "key"))
-        if not now.head(1):
-            break
-        x, y = now.alias("x"), now.alias("y")
-        apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.cid") < F.col("y.cid"))
-        at_once = F.lit(True) if turn == HUB_ROUNDS else F.col("x.size") <= SMALL
-        pairs = x.join(y, apart & at_once).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-        if turn < HUB_ROUNDS:
-            large = now.where(F.col("size") > SMALL)
-            draw = F.struct(F.xxhash64(F.lit(turn), "cid").alias("h"), "cid", "comp")
-            drawn = settle(large.groupBy("key").agg(F.min(draw).alias("d")).select("key", F.col("d.cid").alias("hub"), F.col("d.comp").alias("hub_comp")))
-            more = large.join(drawn, "key").where("comp <> hub_comp")
-            pairs = pairs.union(more.select(F.col("hub").alias("a"), F.col("cid").alias("b")))
-        done = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = settle(pairs.distinct().join(done, ["a", "b"], "left_anti"))
-        if pairs.head(1):
-            fresh = settle(verified(pairs, sets, similarity))
-            tested = tested.union(pairs)
-            if fresh.head(1):
-                edges = edges.union(fresh)
-                linked = components(edges)
-        elif not now.where(F.col("size") > SMALL).head(1):
-            break
-    return linked
+    sketches, least = sets.select("cid", "sketch"), similarity / 100 - MARGIN
+    best = True
+    while True:
+        now = settle_round(members.select("key", "cid").join(linked, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+        # In a tested pair the lesser one is a.
+        pairs = settle_round(apart_pairs(now, sketches, least, best).distinct().join(tested, ["a", "b"], "left_anti"))
+        fresh = settle_round(verified(pairs, sets, similarity)) if pairs.head(1) else None
+        found = fresh is not None and bool(fresh.head(1))
+        tidy(docs.sparkSession)
+        if found:
+            edges = settle_round(edges.union(fresh))
+            linked = components(edges)
+        if not best:
+            return linked
+        tested = settle_round(tested.union(pairs))
+        # Once the most alike pairs give no more links, all others are compared.
+        best = found
 
 
 def near_duplicates(
@@ -231,10 +304,10 @@ def near_duplicates(
     gives an empty result.
     """
     docs = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = settle(signed_rows(docs, words, bands, rows))
+    signed = settle_round(signed_rows(docs, words, bands, rows))
     classes = signed.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = settle(classes.select(F.monotonically_increasing_id().alias("cid"), "rep", "d1", "d2", "bands"))
-    linked = linked_classes(docs, classes, words, similarity)
+    classes = settle_round(classes.select(F.monotonically_increasing_id().alias("cid"), "rep", "d1", "d2", "bands"))
+    linked = linked_classes(docs, classes, words, similarity, bands, rows)
 
     found = classes.select("cid", "rep", "d1", "d2")
     if linked is not None:
@@ -243,11 +316,11 @@ def near_duplicates(
         found = found.join(of, "cid", "left").select("d1", "d2", F.least("rep", "least").alias("component_id"))
     else:
         found = found.select("d1", "d2", F.col("rep").alias("component_id"))
-    found = settle(found)
+    found = settle_round(found)
     # Rows without a set get a key of their own, which no class has.
     key1, key2 = F.coalesce("d1", F.xxhash64("doc_id")), F.coalesce("d2", F.lit(-1))
     placed = signed.select("doc_id", "n_shingles", key1.alias("d1"), key2.alias("d2")).join(found, ["d1", "d2"], "left")
-    placed = settle(placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    placed = settle_round(placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
     placed = one_node(placed)
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -256,12 +329,12 @@ def near_duplicates(
 def one_node(placed: DataFrame) -> DataFrame:
     """Join the components in which one repeated id stands."""
     many = placed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b")).where("a < b")
-    many = settle(many)
+    many = settle_round(many)
     if not many.head(1):
         return placed
     # All components of such an id, each an edge to the least of them.
     edges = placed.join(many.select("doc_id", "a"), "doc_id").select("a", F.col("component_id").alias("b")).where("a <> b").distinct()
-    merged = settle(components(settle(edges)).select(F.col("cid").alias("component_id"), "comp"))
+    merged = settle_round(components(settle_round(edges)).select(F.col("cid").alias("component_id"), "comp"))
     return placed.join(merged, "component_id", "left").withColumn("component_id", F.coalesce("comp", "component_id"))
 
 
@@ -271,7 +344,7 @@ def without_copies(df: DataFrame, **options) -> DataFrame:
     Rows of null ids stay.
     """
     found = near_duplicates(df, **options).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    found = settle(found.select(F.col("doc_id").alias("__kept"), "n"))
+    found = settle_round(found.select(F.col("doc_id").alias("__kept"), "n"))
     near = F.broadcast(found) if found.count() <= FEW else found
     kept = df.where(F.col("doc_id").isNotNull()).join(near, F.col("doc_id") == F.col("__kept"), "left_semi")
     if found.where("n > 1").head(1):
