@@ -125,10 +125,11 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
         encoder, block, counts = Encoder.load(path), TaskContext.get().partitionId(), Counter()
         step = 4 * capacity
         for batch in slices(batches, "text"):
-            texts = [encoder.words(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            packed = encoder.known(set().union(*texts)) if texts else {}
             rows: list[tuple] = []
-            for doc_id, words in zip(batch.column(0).to_pylist(), texts, strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                # Text by text, so that words are looked up twice while they are at hand.
+                words = encoder.words(text or b"")
+                packed = encoder.known(words)
                 ids = b"".join(map(packed.__getitem__, words)) + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     piece = ids[at : at + step]

@@ -10,7 +10,8 @@ texts as single runs.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,18 @@ from .common import pick, settle, slices, table
 COMMON = 300_000
 #: Longer pre-tokens are never broadcast nor cached.
 LONG = 64
+ENDS = (b".", b",")
+
+
+def letter_before_end(word: bytes) -> bool:
+    """Whether a letter or digit, of those whose class is beyond doubt, stands before the last byte."""
+    if len(word) < 2 or b"<" in word:
+        return False
+    c = word[-2]
+    if c < 128:
+        return 48 <= c <= 57 or 97 <= c <= 122
+    # The letters from 00C0 to 00FF, without the signs for times and divided by.
+    return len(word) > 2 and word[-3] == 0xC3 and c not in (0x97, 0xB7)
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -50,7 +63,8 @@ class Encoder:
         probes = ["a b", "a\x0bb", "a \n\tb.", "1  2\r3", "x , .y", "it 's\x0ct"]
         self.by_word = all(one(p) == [i for w in p.encode().split() for i in one(w.decode())] for p in probes)
         self.caseless = one("Ab CD eF") == one("ab cd ef")
-        self.marks = [str(t.content).encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.ends = {e: np.array(one(e.decode()), "<u4").tobytes() for e in ENDS}
+        self.by_word &= all(one(f"{x}{e.decode()}") == one(f"{x} {e.decode()}") for x in ("a", "7", "é", "ß") for e in ENDS)
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -83,24 +97,36 @@ class Encoder:
             out += [all_ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def known(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Packed ids of at least these words; the cache is bounded, in two generations."""
+        if len(self.young) > self.capacity:
+            self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        if len(young) + len(words) > self.capacity:
-            self.old, self.young = young, {}
-            young, old = self.young, self.old
-        new = []
-        result = young
-        extra: dict[bytes, bytes] = {}
-        for w in words - young.keys():
-            ids = old.get(w)
-            if ids is None:
-                new.append(w)
+        new: set[bytes] = set()
+        ended: list[bytes] = []
+        # Set operations with a view of the keys would go through all of the cache.
+        for w in set(filterfalse(young.__contains__, words)):
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            elif self.by_word and w[-1:] in ENDS and letter_before_end(w):
+                ended.append(w)
+                new.add(w[:-1])
             else:
+                new.add(w)
+        extra: dict[bytes, bytes] = {}
+        fresh = []
+        for w in filterfalse(young.__contains__, new):
+            if (ids := old.get(w)) is not None:
                 young[w] = ids
-        for w, ids in zip(new, self.ids(new), strict=True):
+            else:
+                fresh.append(w)
+        for w, ids in zip(fresh, self.ids(fresh), strict=True):
             (young if len(w) <= LONG else extra)[w] = ids.tobytes()
-        return {**young, **extra} if extra else result
+        # A full stop or comma after a letter is a pre-token of the vocabulary's own.
+        for w in ended:
+            ids = young.get(w[:-1]) or extra.get(w[:-1], b"")
+            (young if len(w) <= LONG else extra)[w] = ids + self.ends[w[-1:]]
+        return {**young, **extra} if extra else young
 
 
 def count_words(docs: DataFrame, path: str) -> DataFrame:
