@@ -69,49 +69,59 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float, most: int = 20_000, alpha: float = 1.0, decay: float = 1e-3) -> Model:
-    """Fit to the distinct slots of each text; ``prior`` is the toxic share among all labelled texts."""
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    if not n1 or not n0:
-        p = min(max(prior, 1e-3), 1 - 1e-3)
-        return Model(np.zeros(SLOTS), float(np.log(p / (1 - p))))
-    c1, c0 = np.zeros(SLOTS), np.zeros(SLOTS)
-    for slots, t in zip(rows, toxic, strict=True):
-        (c1 if t else c0)[slots] += 1
-    ratio = np.log((c1 + alpha) / (n1 + 2 * alpha)) - np.log((c0 + alpha) / (n0 + 2 * alpha))
-    rate = (c1 + c0 + 1) / (n1 + n0 + 2)
-    z = (c1 / n1 - c0 / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
-    z[c1 + c0 < 3] = 0
-    chosen = np.argsort(-np.abs(z), kind="stable")[:most]
-    chosen = np.sort(chosen[np.abs(z[chosen]) > 3])
-    place = np.full(SLOTS, -1)
-    place[chosen] = np.arange(chosen.size)
-
-    cols = [place[slots] for slots in rows]
-    cols = [c[c >= 0] for c in cols]
-    row = np.repeat(np.arange(len(cols)), [c.size for c in cols])
-    col = np.concatenate(cols) if cols else np.zeros(0, int)
-    value = ratio[chosen][col]
+@dataclass
+class Counts:
+    """How many texts of each class have each slot, and how many texts there are."""
+
+    with_toxic: np.ndarray
+    with_clean: np.ndarray
+    toxic: int
+    clean: int
+
+    def ratio(self, alpha: float) -> np.ndarray:
+        """Naive Bayes log-count ratio of each slot."""
+        return np.log((self.with_toxic + alpha) / (self.toxic + 2 * alpha)) - np.log((self.with_clean + alpha) / (self.clean + 2 * alpha))
+
+    def chosen(self, most: int) -> np.ndarray:
+        """The slots whose rates differ most, in order; each by three standard errors at least."""
+        n1, n0 = self.toxic, self.clean
+        if not n1 or not n0:
+            return np.empty(0, np.int64)
+        rate = (self.with_toxic + self.with_clean + 1) / (n1 + n0 + 2)
+        z = np.abs(self.with_toxic / n1 - self.with_clean / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
+        z[self.with_toxic + self.with_clean < 3] = 0
+        best = np.argsort(-z, kind="stable")[:most]
+        return np.sort(best[z[best] > 3])
+
+
+def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.ndarray, prior: float, alpha: float = 1.0, decay: float = 1e-3) -> Model:
+    """Fit to the chosen slots of each text; ``prior`` is the toxic share among all labelled texts."""
+    prior = min(max(prior, 1e-4), 1 - 1e-4)
+    if not chosen.size:
+        return Model(np.zeros(SLOTS), float(np.log(prior / (1 - prior))))
+    ratio = counts.ratio(alpha)[chosen]
+    row = np.repeat(np.arange(len(rows)), [r.size for r in rows])
+    col = np.searchsorted(chosen, np.concatenate(rows))
+    value = ratio[col]
     y = toxic.astype(float)
     w, b = np.zeros(chosen.size), 0.0
     # Accelerated gradient steps of a length that the features' size bounds.
-    step = 4 / (np.bincount(row, value**2, len(cols)).max(initial=0) + 1 + 4 * decay)
+    step = 4 / (np.bincount(row, value**2, len(rows)).max(initial=0) + 1 + 4 * decay)
     vw, vb = w.copy(), b
     for k in range(1, 401):
-        p = 1 / (1 + np.exp(-(np.bincount(row, value * vw[col], len(cols)) + vb)))
+        p = 1 / (1 + np.exp(-(np.bincount(row, value * vw[col], len(rows)) + vb)))
         g = np.bincount(col, value * (p - y)[row], chosen.size) / y.size + decay * vw
         nw, nb = vw - step * 5 * g, vb - step * 5 * float((p - y).mean())
         vw, vb = nw + (k - 1) / (k + 2) * (nw - w), nb + (k - 1) / (k + 2) * (nb - b)
         w, b = nw, nb
     weights = np.zeros(SLOTS)
-    weights[chosen] = ratio[chosen] * w
+    weights[chosen] = ratio * w
     # The sample may be balanced; the scores are for the labelled share.
-    prior = min(max(prior, 1e-4), 1 - 1e-4)
-    return Model(weights, b + float(np.log(prior / (1 - prior)) - np.log(n1 / n0)))
+    return Model(weights, b + float(np.log(prior / (1 - prior)) - np.log(counts.toxic / counts.clean)))
 
 
-def training_rows(docs: DataFrame, marked: DataFrame, bound: int) -> tuple[list[np.ndarray], np.ndarray, float]:
-    """Distinct slots of about ``bound`` labelled texts per class at most, chosen by a hash of the id."""
+def sampled_texts(docs: DataFrame, marked: DataFrame, bound: int) -> tuple[DataFrame, float]:
+    """(doc_id, text, toxic) of about ``bound`` labelled texts per class at most, by a hash of the id; the toxic share of all."""
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     chosen = F.lit(False)
     for toxic, n in counts.items():
@@ -119,29 +129,56 @@ def training_rows(docs: DataFrame, marked: DataFrame, bound: int) -> tuple[list[
         chosen |= (F.col("toxic") == toxic) & (F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) < least)
     # About twice the bound of narrow rows, so this side may be broadcast.
     sample = F.broadcast(marked.where(chosen).select("doc_id", "toxic").limit(3 * bound))
+    total = sum(counts.values())
+    return settle(docs.join(sample, "doc_id").select("doc_id", "text", "toxic")), counts.get(True, 0) / total if total else 0.0
+
+
+def slot_counts(sample: DataFrame) -> Counts:
+    """Counted where the texts are; the driver gets a row per slot at most."""
+    schema = pa.schema([("slot", pa.int32()), ("n1", pa.int64()), ("n0", pa.int64())])
+    every = np.ones(SLOTS, bool)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            text, slot = present([t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()], every)
+            toxic = np.array(batch.column(1).to_pylist(), bool)[text]
+            n1, n0 = (np.bincount(slot[k], minlength=SLOTS) for k in (toxic, ~toxic))
+            there = np.flatnonzero(n1 + n0)
+            yield table(schema, [there, n1[there], n0[there]])
+
+    got = sample.select("text", "toxic").mapInArrow(part, "slot int, n1 long, n0 long").groupBy("slot").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toArrow()
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    both = [np.zeros(SLOTS), np.zeros(SLOTS)]
+    for k, counts in enumerate(both):
+        counts[got.column(0).to_numpy()] = got.column(k + 1).to_numpy()
+    return Counts(*both, n.get(True, 0), n.get(False, 0))
+
+
+def chosen_rows(sample: DataFrame, chosen: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The chosen slots of each sampled text, and whether it is toxic."""
+    wanted = np.zeros(SLOTS, bool)
+    wanted[chosen] = True
     schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.bool_()), ("slots", pa.binary())])
-    anything = np.ones(SLOTS, bool)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            out = [present([t], anything)[1].astype("<u4").tobytes() for t in texts]
-            yield table(schema, [batch.column(0), batch.column(2), out])
+            yield table(schema, [batch.column(0), batch.column(2), [present([t], wanted)[1].astype("<u4").tobytes() for t in texts]])
 
-    picked = docs.join(sample, "doc_id").select("doc_id", "text", "toxic")
-    got = picked.mapInArrow(part, "doc_id long, toxic boolean, slots binary").toArrow().sort_by("doc_id")
-    rows = [np.frombuffer(x, "<u4").astype(np.int64) for x in got.column("slots").to_pylist()]
-    total = sum(counts.values())
-    return rows, np.array(got.column("toxic").to_pylist(), bool), counts.get(True, 0) / total if total else 0.0
+    got = sample.mapInArrow(part, "doc_id long, toxic boolean, slots binary").toArrow().sort_by("doc_id")
+    return [np.frombuffer(x, "<u4").astype(np.int64) for x in got.column("slots").to_pylist()], np.array(got.column("toxic").to_pylist(), bool)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", bound: int = 1500, held_out: bool = True) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", bound: int = 1500, held_out: bool = True, most: int = 20_000) -> Model:
     """Learn from labelled texts; with ``held_out`` not from ids whose crc32 is a multiple of 5."""
     marked = pick(labels, doc_id=id_col, label=label_col).where("doc_id IS NOT NULL AND label IS NOT NULL")
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("label") > 0).alias("toxic"))
     if held_out:
         marked = marked.where(~is_held_out())
-    return fit(*training_rows(docs, settle(marked), bound))
+    sample, prior = sampled_texts(docs, settle(marked), bound)
+    counts = slot_counts(sample)
+    chosen = counts.chosen(most)
+    return fit(*chosen_rows(sample, chosen), counts, chosen, prior)
 
 
 def is_held_out():
