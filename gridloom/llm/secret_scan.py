@@ -2,8 +2,9 @@
 
 What the patterns find are labelled credentials.  Per kind, a prefix tree of
 their character classes is folded by merging statistically compatible states
-into a probabilistic automaton.  Every other candidate (a long run with a
-digit) is scored under each automaton; it is a secret if its likelihood per
+into a probabilistic automaton.  Every other candidate (a long run of the
+letters that labelled credentials have, or a part of it between dots and equals
+signs) is scored under each automaton; it is a secret if its likelihood per
 symbol reaches what held-out credentials of that kind have.
 """
 
@@ -26,8 +27,13 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ["assign", "access", "hex"]
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
-DIGIT = re.compile(r"[0-9]")
+#: The letters of ASSIGN's second group.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+#: Sentences, paths and queries put dots and equals signs around a credential too.
+PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+LEAST = 12
+#: A part of a run has so many pieces at most; the whole run is scored however many it has.
+PIECES = 16
 #: Longer labelled credentials aren't used for learning.
 LONGEST = 256
 
@@ -45,18 +51,45 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Long runs with a digit that don't overlap a base span."""
+    """Long runs; of one that meets base spans, what its pieces outside of them make up."""
     out, k = [], 0
-    ends = [(s, e) for s, _, e, _ in taken]
     for m in CANDIDATE.finditer(text):
-        if not DIGIT.search(m[0]):
-            continue
-        while k < len(ends) and max(e for _, e in ends[k : k + 1]) <= m.start():
+        while k < len(taken) and taken[k][2] <= m.start():
             k += 1
-        if any(s < m.end() and e > m.start() for s, e in ends[k : k + 8]):
+        if k == len(taken) or taken[k][0] >= m.end():
+            out.append((m.start(), m.end(), m[0]))
             continue
-        out.append((m.start(), m.end(), m[0]))
-    return out
+        start, at = None, k
+        for p in PIECE.finditer(text, m.start(), m.end()):
+            while at < len(taken) and taken[at][2] <= p.start():
+                at += 1
+            # Spans are by start and those before this one are over, so no other can meet the piece if this doesn't.
+            limit = taken[at][0] if at < len(taken) else m.end()
+            if limit < p.end():
+                start = None
+                continue
+            if start is None or limit != until:
+                start, until = p.start(), limit
+                out.append((start, p.end(), ""))
+            stop = p.end()
+            while stop < min(until, m.end()) and text[stop] == "=":
+                stop += 1
+            out[-1] = (start, stop, text[start:stop])
+    return [c for c in out if c[1] - c[0] >= LEAST]
+
+
+def parts(word: str) -> Iterator[tuple[int, list[int]]]:
+    """Starts of a run's parts, each with its stops: the run, and pieces in a row with or without padding."""
+    pieces = [m.span() for m in PIECE.finditer(word)]
+    if not pieces or pieces[0][0] > 0:
+        yield 0, [len(word)]
+    # The padding is two equals signs at most.
+    stops = [(e, e + len(word[e : e + 2]) - len(word[e : e + 2].lstrip("="))) for _, e in pieces]
+    for i, (s, _) in enumerate(pieces):
+        ends = {e for both in stops[i : i + PIECES] for e in both}
+        if i == 0:
+            ends |= {pieces[-1][1]} if s else {pieces[-1][1], len(word)}
+        yield s, sorted(e for e in ends if e - s >= LEAST)
 
 
 def symbols(text: str) -> str:
@@ -139,17 +172,24 @@ class Automaton:
         self.next = [self.next[r] if r in total else {} for r in range(max(red) + 1)]
         del self.count
 
+    def scores(self, word: str, start: int, stops: list[int]) -> Iterator[tuple[int, float]]:
+        """For rising stops, the mean log likelihood of the symbols (of ``symbols``) up to there and the end, where it can be."""
+        at, total, i = 0, 0.0, start
+        for stop in stops:
+            while i < stop:
+                p = self.log[at].get(word[i])
+                if p is None:
+                    return
+                total += p
+                at = self.next[at][word[i]]
+                i += 1
+            p = self.log[at].get(self.END)
+            if p is not None:
+                yield stop, (total + p) / (stop - start + 1)
+
     def score(self, word: str) -> float:
         """Mean log likelihood of the word's symbols and its end; -inf if it can't be."""
-        at, total = 0, 0.0
-        for c in symbols(word):
-            p = self.log[at].get(c)
-            if p is None:
-                return -math.inf
-            total += p
-            at = self.next[at][c]
-        p = self.log[at].get(self.END)
-        return -math.inf if p is None else (total + p) / (len(word) + 1)
+        return next((score for _, score in self.scores(symbols(word), 0, [len(word)])), -math.inf)
 
 
 def learn(credentials: dict[str, list[str]], share: float = 0.95, alpha: float = 0.05) -> dict[str, tuple[Automaton, float]]:
@@ -169,6 +209,27 @@ def learn(credentials: dict[str, list[str]], share: float = 0.95, alpha: float =
     return out
 
 
+def formatted(word: str, models: list[tuple[Automaton, float]]) -> list[tuple[int, int, float]]:
+    """(start, stop, excess) of the parts of a run that pass a format: longer ones first, those that overlap them left out."""
+    classes = symbols(word)
+    # By how much a part passes the format that suits it best.
+    best: dict[tuple[int, int], float] = {}
+    for start, stops in parts(word):
+        for automaton, least in models:
+            for stop, score in automaton.scores(classes, start, stops):
+                if score >= least:
+                    best[start, stop] = max(best.get((start, stop), 0.0), score - least)
+    kept: list[tuple[int, int, float]] = []
+    free = bytearray(b"\1") * len(word) if len(best) > 1 else None
+    for start, stop in sorted(best, key=lambda p: (p[0] - p[1], p[0])):
+        # Kept parts are no shorter, so one that overlaps covers an end.
+        if free is None or (free[start] and free[stop - 1]):
+            kept.append((start, stop, best[start, stop]))
+            if free is not None:
+                free[start:stop] = bytes(stop - start)
+    return sorted(kept)
+
+
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 1000) -> DataFrame:
     """Secrets of each whole text.
 
@@ -222,11 +283,9 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 kept, scores = [], []
                 for c in more:
-                    # By how much it passes the format that suits it best.
-                    best = max((a.score(c["word"]) - least for a, least in models), default=-math.inf)
-                    if best >= 0:
-                        kept.append(f"format:{c['start']}:{c['stop']}")
-                        scores.append(best)
+                    for start, stop, excess in formatted(c["word"], models):
+                        kept.append(f"format:{c['start'] + start}:{c['start'] + stop}")
+                        scores.append(excess)
                 n = [sum(b["kind"] == k for b in base) for k in range(3)]
                 spans = ",".join(f"{KINDS[b['kind']]}:{b['start']}:{b['stop']}" for b in base)
                 for column, value in zip(got, [*n, spans, ",".join(kept), scores], strict=True):
