@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 from ..functions.geometry import from_geojson, from_wkt, point_wkb, to_wkb
 from .stores import checked
 
+#: So many properties become columns; the others, by name, share one.
 SAMPLE_KEYS = 10_000
+REST = "other_properties"
 
 
 def geometry_to_wkb(text: str | None) -> bytes | None:
@@ -53,7 +56,7 @@ def _merge(a: str, b: str) -> str:
 
 
 def property_types(features: DataFrame) -> dict[str, str]:
-    """Names and types of all properties; as many rows reach the driver as there are different ones."""
+    """Names and types of the first properties by name, one more than become columns; each type is that of all features."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, str], None] = {}
@@ -63,15 +66,32 @@ def property_types(features: DataFrame) -> dict[str, str]:
                     seen[(k, _kind(v))] = None
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen], pa.string()), pa.array([t for _, t in seen], pa.string())], ["k", "t"])
 
-    found = features.select("properties").mapInArrow(part, "k string, t string").distinct().limit(SAMPLE_KEYS).collect()
-    out: dict[str, str] = {}
-    for r in sorted(found):
-        out[r["k"]] = _merge(out.get(r["k"], "void"), r["t"])
+    pairs = features.select("properties").mapInArrow(part, "k string, t string")
+    found = pairs.groupBy("k").agg(F.sort_array(F.collect_set("t")).alias("t")).orderBy("k").limit(SAMPLE_KEYS + 1).collect()
+    out = {r["k"]: reduce(_merge, r["t"], "void") for r in found}
     return {k: "string" if t in ("void", "json") else t for k, t in out.items()}
 
 
+def _rest(features: DataFrame, last: str, name: str) -> DataFrame:
+    """Adds the properties whose names are after ``last`` as the text of a JSON object, sorted by name; null if a feature has none."""
+    schema = T.StructType([*features.schema.fields, T.StructField(name, T.StringType())])
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.names.index("properties")).to_pylist()
+            rest = [{k: v for k, v in (json.loads(t) if t else {}).items() if k > last} for t in texts]
+            rest = pa.array([json.dumps(r, sort_keys=True, ensure_ascii=False) if r else None for r in rest], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, rest], [*batch.schema.names, name])
+
+    return features.mapInArrow(part, schema)
+
+
 def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Properties as columns, then ``geom``.  ``lines``: a feature per line, which is read in parallel."""
+    """Properties as columns, then ``geom``.  ``lines``: a feature per line, which is read in parallel.
+
+    With more than SAMPLE_KEYS properties the first by name are columns, and
+    the others are a JSON object in the column ``other_properties``.
+    """
     schema = "type string, features array<string>, geometry string, properties string"
     docs = spark.read.schema(schema).json(path, multiLine=not lines)
     inner = F.from_json("feature", "geometry string, properties string")
@@ -79,9 +99,16 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     single = docs.where("type = 'Feature'").select("geometry", "properties")
     features = nested.unionByName(single)
     types = property_types(features)
+    rest = []
+    if len(types) > SAMPLE_KEYS:
+        types = dict(list(types.items())[:SAMPLE_KEYS])
+        name = REST
+        while name in types:
+            name += "_"
+        features, rest = _rest(features, list(types)[-1], name), [name]
     typed = ", ".join(f"`{k.replace('`', '``')}` {t}" for k, t in types.items())
     if types:
-        features = features.select(F.from_json("properties", typed).alias("p"), "geometry").select(*[F.col("p").getField(k).alias(k) for k in types], "geometry")
+        features = features.select(F.from_json("properties", typed).alias("p"), *rest, "geometry").select(*[F.col("p").getField(k).alias(k) for k in types], *rest, "geometry")
     else:
         features = features.select("geometry")
     return _map_geometry(features, "geometry", geometry_to_wkb)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom import guard
 from gridloom.cli import main
 from gridloom.config import load
-from gridloom.functions.geometry import from_wkt, to_wkb
+from gridloom.functions.geometry import from_wkt, point_wkb, to_wkb
 from gridloom.operators.extract import extract, plan
 from gridloom.operators.ingest import ingest
 from gridloom.operators.plots import draw_heatmap, draw_histogram, draw_line, heatmap, histogram, line
@@ -126,6 +126,21 @@ def test_vectors_and_ingest(spark, folder):
         read_features(spark, str(folder / "x.shp"))
 
 
+def test_no_property_is_lost_past_the_limit(spark, folder, monkeypatch):
+    kinds = [{"a": 1, "b": 1, "c": 1, "d": 1, "é": "x"}, {"a": 1.5, "b": "s", "c": None, "e": {"z": [True]}}, {"a": None, "b": 2.5, "c": 3}, None]
+    rows = [{"type": "Feature", "properties": p, "geometry": {"type": "Point", "coordinates": [i, i]}} for i, p in enumerate(kinds)]
+    (folder / "wide.ndjson").write_text("\n".join(map(json.dumps, rows)))
+    for limit, types in ((3, {"a": "double", "b": "string", "c": "bigint", "other_properties": "string"}), (6, {"a": "double", "b": "string", "c": "bigint", "d": "bigint", "e": "string", "é": "string"})):
+        monkeypatch.setattr("gridloom.sources.vector.SAMPLE_KEYS", limit)
+        df = read_features(spark, str(folder / "wide.ndjson"))
+        assert dict(df.dtypes) == types | {"geom": "binary"}
+        got = {r["geom"]: r for r in df.collect()}
+        got = [got[point_wkb(float(i), float(i))] for i in range(4)]
+        assert [r["a"] for r in got] == [1.0, 1.5, None, None] and [r["b"] for r in got] == ["1", "s", "2.5", None] and [r["c"] for r in got] == [1, None, 3, None]
+        if limit == 3:
+            assert [r["other_properties"] and json.loads(r["other_properties"]) for r in got] == [{"d": 1, "é": "x"}, {"e": {"z": [True]}}, None, None]
+
+
 @pytest.mark.parametrize("sql", ["SELECT 1", "select 'DROP x; y';", "WITH a AS (SELECT 1) SELECT * FROM a", "DESCRIBE t", "SHOW TABLES", "VALUES (1)", "CREATE TEMP VIEW v AS SELECT 1", "create or replace temporary table v as select 1", "SET VARIABLE x = 1", "EXPLAIN SELECT 1", "SELECT a.copy AS load FROM a -- DROP x"])
 def test_guard_accepts(sql):
     guard.check(sql)
