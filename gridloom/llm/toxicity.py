@@ -9,6 +9,7 @@ of its positions.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +25,8 @@ SLOTS = 1 << 20
 #: Lower case for A-Z, one kind of white space, no NUL: that marks where texts end.
 FOLD = bytes(32 if b in (0, 9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 GAP = b" \0 "
+#: The fit ends at a gradient of this norm, or with a warning after so many steps.
+GRADIENT, MOST_STEPS = 1e-4, 20_000
 
 
 def grams(joined: np.ndarray, n: int) -> np.ndarray:
@@ -105,15 +108,28 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.nd
     value = ratio[col]
     y = toxic.astype(float)
     w, b = np.zeros(chosen.size), 0.0
-    # Accelerated gradient steps of a length that the features' size bounds.
-    step = 4 / (np.bincount(row, value**2, len(rows)).max(initial=0) + 1 + 4 * decay)
-    vw, vb = w.copy(), b
-    for k in range(1, 401):
-        p = 1 / (1 + np.exp(-(np.bincount(row, value * vw[col], len(rows)) + vb)))
-        g = np.bincount(col, value * (p - y)[row], chosen.size) / y.size + decay * vw
-        nw, nb = vw - step * 5 * g, vb - step * 5 * float((p - y).mean())
+    # The features' largest squared singular value, by power iteration, bounds the curvature and with it the step.
+    u, largest = np.ones(chosen.size + 1) / np.sqrt(chosen.size + 1), 0.0
+    for _ in range(30):
+        xu = np.bincount(row, value * u[col], len(rows)) + u[-1]
+        u = np.append(np.bincount(col, value * xu[row], chosen.size), xu.sum())
+        largest = float(np.linalg.norm(u))
+        u /= largest
+    step = 1 / (1.1 * largest / (4 * y.size) + decay)
+    # Accelerated gradient steps; the momentum starts anew where it leads uphill.
+    vw, vb, k = w.copy(), b, 1
+    for _ in range(MOST_STEPS):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * vw[col], len(rows)) + vb, -500, 500)))
+        g, gb = np.bincount(col, value * (p - y)[row], chosen.size) / y.size + decay * vw, float((p - y).mean())
+        if g @ g + gb * gb <= GRADIENT**2:
+            w, b = vw, vb
+            break
+        nw, nb = vw - step * g, vb - step * gb
+        k = 1 if g @ (nw - w) + gb * (nb - b) > 0 else k + 1
         vw, vb = nw + (k - 1) / (k + 2) * (nw - w), nb + (k - 1) / (k + 2) * (nb - b)
         w, b = nw, nb
+    else:
+        warnings.warn(f"the fit's gradient is above {GRADIENT} after {MOST_STEPS} steps", stacklevel=2)
     weights = np.zeros(SLOTS)
     weights[chosen] = ratio * w
     # The sample may be balanced; the scores are for the labelled share.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gridloom.llm.line_dedup import dedup_lines, deduped_documents
 from gridloom.llm.minhash import near_duplicates, without_copies
-from gridloom.llm.toxicity import present, toxicity, without_toxic
+from gridloom.llm.toxicity import Counts, fit, present, toxicity, without_toxic
 
 SF = "/root/testdata/sf0.001"
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -57,6 +57,22 @@ def test_toxicity_learns(spark, odd, none):
     assert toxicity(none, labels.limit(0)).count() == 0 and toxicity(odd, labels.limit(0)).count() == odd.count()
 
 
+def test_fit_converges():
+    """The gradient of the loss at the fitted weights, computed anew, is next to nothing."""
+    rng = np.random.default_rng(4)
+    rate = 0.4 / (1 + np.arange(3000) / 20)
+    toxic = np.arange(1200) < 600
+    has = rng.random((1200, 3000)) < rate * np.where(toxic[:, None] & (np.arange(3000) % 7 == 0), 2, 1)
+    counts = Counts(has[toxic].sum(0).astype(float), has[~toxic].sum(0).astype(float), 600, 600)
+    chosen = np.flatnonzero(has.sum(0) >= 3)
+    model = fit([chosen[r[chosen]] for r in has], toxic, counts, chosen, 0.5)
+    ratio = counts.ratio(1.0)[chosen]
+    x, w = has[:, chosen] * ratio, np.divide(model.weights[chosen], ratio, out=np.zeros(chosen.size), where=ratio != 0)
+    p = 1 / (1 + np.exp(-(x @ w + model.bias)))
+    gradient = np.append(x.T @ (p - toxic) / 1200 + 1e-3 * w, (p - toxic).mean())
+    assert np.linalg.norm(gradient) < 1.01e-4
+
+
 # -- line dedup --
 
 
