@@ -51,7 +51,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Packing and the models aren't SQL: the tests hold the stages against brute-force versions.
+#: Packing and the models aren't SQL. The tests hold line dedup and near dedup against brute-force versions; the
+#: pipeline as a whole is only compared with its own stages, called one by one.
 ORACLE_SQL = None
 
 
