@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the word definitions: space and the ASCII controls 9 to 13.
 SPACE = r"\x20\x09-\x0D"
+#: Rows of a key that a join's task may get, whatever the number of rows.
+HOT = 10_000
 #: The same word pattern for Spark and for Python.
 WORD = rf"[^{SPACE}]+"
 
@@ -25,21 +29,65 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def place(df: DataFrame, name: str) -> int:
+    """Where a column is; an exact name wins over one that differs in case, and the first of several wins."""
+    at = [i for i, c in enumerate(df.columns) if c == name]
+    at = at or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if not at:
+        raise ValueError(f"column {name!r} is missing")
+    return at[0]
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """The same rows with columns __0, __1 ..., which no other name clashes with."""
+    return df.toDF(*[f"__{i}" for i in range(len(df.columns))])
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Select columns under new names, by position.
 
-    An exact name wins over one that differs in case; every other column is
-    left out, so clashing extra columns never make a reference ambiguous.
+    Every other column is left out, so clashing extra columns never make a
+    reference ambiguous.
     """
-    plain = df.toDF(*[f"__{i}" for i in range(len(df.columns))])
-    out = []
-    for new, old in columns.items():
-        at = [i for i, c in enumerate(df.columns) if c == old]
-        at = at or [i for i, c in enumerate(df.columns) if c.lower() == old.lower()]
-        if not at:
-            raise ValueError(f"column {old!r} is missing")
-        out.append(F.col(f"__{at[0]}").alias(new))
-    return plain.select(*out)
+    return by_place(df).select(*[F.col(f"__{place(df, old)}").alias(new) for new, old in columns.items()])
+
+
+def beside(df: DataFrame, **columns: str) -> DataFrame:
+    """All columns by place, and the named ones once more under new names."""
+    return by_place(df).select("*", *[F.col(f"__{place(df, old)}").alias(new) for new, old in columns.items()])
+
+
+def restored(rows: DataFrame, like: DataFrame, **changed: str) -> DataFrame:
+    """From rows of ``beside``: the columns of ``like`` under its names; ``changed`` ones come from other columns."""
+    at = {place(like, old): new for old, new in changed.items() if any(c.lower() == old.lower() for c in like.columns)}
+    kinds = [f.dataType for f in like.schema]
+    columns = [F.col(at[i]).cast(kinds[i]) if i in at else F.col(f"__{i}") for i in range(len(kinds))]
+    return rows.select(*[c.alias(f"__{i}") for i, c in enumerate(columns)]).toDF(*like.columns)
+
+
+_IN_USE: list[tuple[str, Callable[[], object]]] = []
+
+
+def hold(kind: str, release: Callable[[], object] = lambda: None) -> None:
+    """Say at the start of a task what this worker keeps between tasks, and how it is let go.
+
+    Workers are reused by later stages.  The first task of another kind lets go
+    of what the last kind kept, and gives the memory back to the system.
+    """
+    if _IN_USE and _IN_USE[0][0] == kind:
+        return
+    while _IN_USE:
+        _IN_USE.pop()[1]()
+    _IN_USE.append((kind, release))
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once for all its uses in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -76,6 +124,23 @@ def settle_round(df: DataFrame) -> DataFrame:
     return Classic(spark._jsparkSession.internalCreateDataFrame(rows, settled.schema(), False), spark)
 
 
+def look_up(rows: DataFrame, found: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows.join(found, keys)`` for keys that may stand for a large share of the rows.
+
+    ``found`` has one row a key, with the number n of the rows that have it (the
+    result has no n); ``total`` is the sum of n.  The hot keys, of which there
+    are 10,000 at most whatever the total, are joined by a broadcast, so that no
+    task gets all rows of one; the others, by a shuffle, have few rows each.
+    """
+    limit = max(HOT, total // 10_000)
+    hot = found.where(F.col("n") > limit).drop("n") if total > limit else None
+    if hot is None or not hot.head(1):
+        return rows.join(found.drop("n"), keys)
+    near = F.broadcast(hot)
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(found.where(F.col("n") <= limit).drop("n"), keys)
+    return cold.unionByName(rows.join(near, keys))
+
+
 def tidy(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of rounds that are over.
 

@@ -20,10 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, pick, settle, slices, table
+from .common import hold, partitions, pick, settle, slices, table
 
 BITS = 128
 WORDS = 3
+#: Words whose hashes a worker keeps: about 20 MB.
+HASHED = 100_000
 
 
 class WordHashes(dict):
@@ -31,7 +33,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) > 300_000:
+        if len(self) > HASHED:
             self.clear()
         if len(word) <= 64:
             self[word] = h

@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pick, settle
+from .common import let, pick, settle
 
 K = 3
 #: A diagonal may shift by so many words within one span.
@@ -59,11 +59,6 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(text, GAPS), "")
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once for all its uses in ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def gram(words: Column, i: Column) -> list[Column]:
     return [F.get(words, i + j) for j in range(K)]
 

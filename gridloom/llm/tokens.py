@@ -10,7 +10,7 @@ texts as single runs.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from itertools import filterfalse
 
 import numpy as np
@@ -19,12 +19,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, settle, slices, table
+from .common import hold, pick, settle, slices, table
 
-#: Pre-tokens looked up in a broadcast table at most; the rest are joined.
-COMMON = 300_000
-#: Longer pre-tokens are never broadcast nor cached.
+#: Pre-tokens looked up in a broadcast table at most, and their bytes; the rest are joined.
+COMMON, COMMON_BYTES = 300_000, 16 << 20
+#: Bytes of an entry of that table besides the pre-token's own.
+ENTRY = 32
+#: Longer pre-tokens are never cached.
 LONG = 64
+#: Pre-tokens in each of the cache's two generations: with 64 bytes each and as much for their ids, about 40 MB.
+CACHED = 150_000
 ENDS = (b".", b",")
 
 
@@ -45,12 +49,33 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Over(dict):
+    """A few entries over a large table that isn't copied."""
+
+    def __init__(self, under: Mapping):
+        super().__init__()
+        self.under = under
+
+    def __missing__(self, key):
+        return self.under[key]
+
+
+class Known(dict):
+    """Pieces of common pre-tokens; counts the others.  A worker has one of it, however many tasks it runs."""
+
+    other: Counter
+
+    def __missing__(self, word):
+        self.other[word] += 1
+        return 0
+
+
 class Encoder:
     """The library's tokenizer, applied once per distinct pre-token."""
 
     _loaded: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, capacity: int = 500_000):
+    def __init__(self, path: str, capacity: int = CACHED):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -68,7 +93,8 @@ class Encoder:
 
     @classmethod
     def load(cls, path: str) -> Encoder:
-        """One per Python worker."""
+        """One per Python worker, until the worker turns to another kind of task."""
+        hold("tokens", cls._loaded.clear)
         if path not in cls._loaded:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
@@ -97,8 +123,8 @@ class Encoder:
             out += [all_ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def known(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Packed ids of at least these words; the cache is bounded, in two generations."""
+    def known(self, words: Iterable[bytes]) -> Mapping[bytes, bytes]:
+        """Packed ids, by ``[]``, of at least these words; the cache is bounded, in two generations."""
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -113,7 +139,7 @@ class Encoder:
                 new.add(w[:-1])
             else:
                 new.add(w)
-        extra: dict[bytes, bytes] = {}
+        extra = Over(young)
         fresh = []
         for w in filterfalse(young.__contains__, new):
             if (ids := old.get(w)) is not None:
@@ -124,9 +150,9 @@ class Encoder:
             (young if len(w) <= LONG else extra)[w] = ids.tobytes()
         # A full stop or comma after a letter is a pre-token of the vocabulary's own.
         for w in ended:
-            ids = young.get(w[:-1]) or extra.get(w[:-1], b"")
+            ids = extra[w[:-1]]
             (young if len(w) <= LONG else extra)[w] = ids + self.ends[w[-1:]]
-        return {**young, **extra} if extra else young
+        return extra if extra else young
 
 
 def count_words(docs: DataFrame, path: str) -> DataFrame:
@@ -174,35 +200,37 @@ def token_counts(
     """Tokens of each whole text: doc_id, n_bytes, n_tokens, over_limit.
 
     Pieces are counted once per distinct pre-token of the corpus; the counts
-    meet the documents' pre-token frequencies and are summed.  The at most
-    ``common`` most frequent pre-tokens reach the documents by a broadcast of
-    that bound, so no join key is hot; all others are joined.
+    meet the documents' pre-token frequencies and are summed.  At most
+    ``common`` frequent pre-tokens, of COMMON_BYTES together, reach the
+    documents by a broadcast; a long one must be more frequent than a short
+    one.  All others are joined.
 
     A null text counts as empty: no bytes, no tokens.  A null id stays null.
-    Repeated rows each give a row.  An empty table gives an empty result.
+    Repeated rows each give a row.  A very long text is a slice of its own and
+    counted whole; a very long pre-token is encoded once.  Extra columns are
+    left out, whatever their names.  An empty table gives an empty result.
     """
     path = path or vocabulary_path()
     docs = pick(df, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     vocabulary = settle(piece_counts(count_words(docs, path), path))
 
-    # Frequencies by powers of 2 ** (1/8): at most 504 rows reach the driver.
-    levels = sorted(
-        vocabulary.where(F.octet_length("word") <= LONG).groupBy(F.floor(8 * F.log2("n")).alias("level")).count().collect(),
-        key=lambda r: -r["level"],
-    )
-    total, least = 0, None
+    # What a broadcast saves grows with the frequency and costs by the byte: levels of n ** 2 / bytes by powers of
+    # 2 ** (1/4), at most 700 rows.  A pre-token in a large share of the rows is far above any that isn't, however long.
+    worth = F.floor(4 * F.log2(F.col("n").cast("double") * F.col("n") / (F.octet_length("word") + ENTRY)))
+    size = F.sum(F.octet_length("word").cast("long"))
+    levels = sorted(vocabulary.groupBy(worth.alias("level")).agg(F.count("*").alias("words"), size.alias("bytes")).collect(), key=lambda r: -r["level"])
+    total = held = 0
+    least = None
     for row in levels:
-        total += row["count"]
-        if total > common:
+        total, held = total + row["words"], held + row["bytes"]
+        if total > common or held > COMMON_BYTES:
             break
         least = row["level"]
-    if least is None:
-        known, rest = {}, vocabulary
-    else:
-        frequent = (F.octet_length("word") <= LONG) & (F.floor(8 * F.log2("n")) >= F.lit(least))
-        got = vocabulary.where(frequent).select("word", "pieces").toArrow()
-        known = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
-        rest = vocabulary.where(~frequent)
+    known, rest = Known(), vocabulary
+    if least is not None:
+        got = vocabulary.where(worth >= F.lit(least)).select("word", "pieces").toArrow()
+        known.update(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
+        rest = vocabulary.where(worth < F.lit(least))
     shared = df.sparkSession.sparkContext.broadcast(known)
 
     # A text's own row carries what is known; its key can't be a pre-token.
@@ -210,19 +238,9 @@ def token_counts(
         [("rid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("base", pa.int64()), ("word", pa.binary()), ("n", pa.int64())]
     )
 
-    class Rest(dict):
-        """Pieces of common pre-tokens; counts the others."""
-
-        def __init__(self, base):
-            super().__init__(base)
-            self.other: Counter = Counter()
-
-        def __missing__(self, word):
-            self.other[word] += 1
-            return 0
-
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pieces = Encoder.load(path), Rest(shared.value)
+        encoder, pieces = Encoder.load(path), shared.value
+        pieces.other = Counter()
         rid = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text"):
             cols: list[list] = [[], [], [], [], [], []]

@@ -12,19 +12,24 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, settle, slices, table
+from .common import beside, hold, pick, restored, settle, slices, table
 
 ORDERS = (3, 4, 5, 6)
 SLOTS = 1 << 20
 #: Lower case for A-Z, one kind of white space, no NUL: that marks where texts end.
 FOLD = bytes(32 if b in (0, 9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 GAP = b" \0 "
+#: Positions that are hashed at a time, and findings after which repeats are dropped.
+BLOCK, MANY = 1 << 17, 1 << 21
+#: Bytes of texts that are looked at together.
+SLICE = 1 << 18
 #: The fit ends at a gradient of this norm, or with a warning after so many steps.
 GRADIENT, MOST_STEPS = 1e-4, 20_000
 
@@ -50,24 +55,45 @@ def present(texts: list[bytes], wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(text, slot) of the n-grams that occur and whose slot is wanted, each once."""
     joined, starts = join_texts(texts)
     ends = np.flatnonzero(joined == 0)
-    found = []
+    found, waiting = [np.empty(0, np.int64)], 0
     for n in ORDERS:
-        slots = grams(joined, n)
-        at = np.flatnonzero(wanted[slots])
-        # An n-gram must not reach over the mark between two texts.
-        at = at[ends[np.searchsorted(ends, at)] >= at + n]
-        found.append((np.searchsorted(starts, at, "right") - 1) * SLOTS + slots[at])
+        for a in range(0, joined.size - n + 1, BLOCK):
+            slots = grams(joined[a : a + BLOCK + n - 1], n)
+            at = np.flatnonzero(wanted[slots])
+            slots = slots[at]
+            at += a
+            # An n-gram must not reach over the mark between two texts.
+            whole = ends[np.searchsorted(ends, at)] >= at + n
+            found.append(np.unique((np.searchsorted(starts, at[whole], "right") - 1) * SLOTS + slots[whole]))
+            waiting += found[-1].size
+            if waiting > MANY:
+                found, waiting = [np.unique(np.concatenate(found))], 0
     both = np.unique(np.concatenate(found))
     return both // SLOTS, both % SLOTS
 
 
 @dataclass
 class Model:
-    weights: np.ndarray  # by slot; 0 for all that it doesn't use
+    slots: np.ndarray  # of the n-grams in use, rising
+    values: np.ndarray
     bias: float
 
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """By slot; 0 for all that it doesn't use."""
+        out = np.zeros(SLOTS)
+        out[self.slots] = self.values
+        return out
+
+    @cached_property
+    def wanted(self) -> np.ndarray:
+        return self.weights != 0
+
+    def __getstate__(self):
+        return {"slots": self.slots, "values": self.values, "bias": self.bias}
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        text, slot = present(texts, self.weights != 0)
+        text, slot = present(texts, self.wanted)
         total = self.bias + np.bincount(text, self.weights[slot], len(texts))
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
@@ -101,7 +127,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.nd
     """Fit to the chosen slots of each text; ``prior`` is the toxic share among all labelled texts."""
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     if not chosen.size:
-        return Model(np.zeros(SLOTS), float(np.log(prior / (1 - prior))))
+        return Model(chosen, np.empty(0), float(np.log(prior / (1 - prior))))
     ratio = counts.ratio(alpha)[chosen]
     row = np.repeat(np.arange(len(rows)), [r.size for r in rows])
     col = np.searchsorted(chosen, np.concatenate(rows))
@@ -130,10 +156,8 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.nd
         w, b = nw, nb
     else:
         warnings.warn(f"the fit's gradient is above {GRADIENT} after {MOST_STEPS} steps", stacklevel=2)
-    weights = np.zeros(SLOTS)
-    weights[chosen] = ratio * w
     # The sample may be balanced; the scores are for the labelled share.
-    return Model(weights, b + float(np.log(prior / (1 - prior)) - np.log(counts.toxic / counts.clean)))
+    return Model(chosen, ratio * w, b + float(np.log(prior / (1 - prior)) - np.log(counts.toxic / counts.clean)))
 
 
 def sampled_texts(docs: DataFrame, marked: DataFrame, bound: int) -> tuple[DataFrame, float]:
@@ -146,21 +170,29 @@ def sampled_texts(docs: DataFrame, marked: DataFrame, bound: int) -> tuple[DataF
     # About twice the bound of narrow rows, so this side may be broadcast.
     sample = F.broadcast(marked.where(chosen).select("doc_id", "toxic").limit(3 * bound))
     total = sum(counts.values())
-    return settle(docs.join(sample, "doc_id").select("doc_id", "text", "toxic")), counts.get(True, 0) / total if total else 0.0
+    # One text for each id, the least by its hash, so that rows that repeat an id don't add to the sample.
+    text = F.min(F.struct(F.xxhash64("text"), "text"))["text"]
+    texts = docs.join(sample, "doc_id").groupBy("doc_id", "toxic").agg(text.alias("text"))
+    return settle(texts.select("doc_id", "text", "toxic")), counts.get(True, 0) / total if total else 0.0
 
 
 def slot_counts(sample: DataFrame) -> Counts:
     """Counted where the texts are; the driver gets a row per slot at most."""
     schema = pa.schema([("slot", pa.int32()), ("n1", pa.int64()), ("n0", pa.int64())])
-    every = np.ones(SLOTS, bool)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        hold("toxicity")
+        every = np.ones(SLOTS, bool)
+        n1, n0 = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        for batch in slices(batches, "text", SLICE):
             text, slot = present([t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()], every)
             toxic = np.array(batch.column(1).to_pylist(), bool)[text]
-            n1, n0 = (np.bincount(slot[k], minlength=SLOTS) for k in (toxic, ~toxic))
-            there = np.flatnonzero(n1 + n0)
-            yield table(schema, [there, n1[there], n0[there]])
+            n1 += np.bincount(slot[toxic], minlength=SLOTS).astype(np.int32)
+            n0 += np.bincount(slot[~toxic], minlength=SLOTS).astype(np.int32)
+        there = np.flatnonzero(n1 + n0)
+        for a in range(0, there.size, BLOCK):
+            some = there[a : a + BLOCK]
+            yield table(schema, [some, n1[some], n0[some]])
 
     got = sample.select("text", "toxic").mapInArrow(part, "slot int, n1 long, n0 long").groupBy("slot").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toArrow()
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -177,7 +209,8 @@ def chosen_rows(sample: DataFrame, chosen: np.ndarray) -> tuple[list[np.ndarray]
     schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.bool_()), ("slots", pa.binary())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        hold("toxicity")
+        for batch in slices(batches, "text", SLICE):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield table(schema, [batch.column(0), batch.column(2), [present([t], wanted)[1].astype("<u4").tobytes() for t in texts]])
 
@@ -213,9 +246,11 @@ def toxicity(
 
     The model learns from about ``bound`` labelled texts of either class at
     most, none of them held out; it sees texts only.  A null text is empty
-    and scores what the bias says; null ids are never held out; repeated rows
-    score alike; labels of null ids or values are ignored and, of several,
-    the highest counts; an empty table gives an empty result.
+    and scores what the bias says; a very long text is scored whole, in
+    blocks; null ids are never held out; repeated rows score alike, and the
+    model learns from one of them; labels of null ids or values are ignored
+    and, of several, the highest counts; extra columns are left out, whatever
+    their names; an empty table gives an empty result.
     """
     docs = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     scored = score_texts(docs, train(docs, labels, id_col, label_col, bound))
@@ -228,7 +263,8 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 19):
+        hold("toxicity")
+        for batch in slices(batches, "text", SLICE):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield table(schema, [batch.column(0), shared.value.scores(texts)])
 
@@ -238,17 +274,25 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 def without_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.5, bound: int = 1500) -> DataFrame:
     """The rows, with all their columns, whose text scores below ``threshold``.
 
-    All labels may be learned from: nothing is evaluated here.
+    All labels may be learned from: nothing is evaluated here.  Null and empty
+    texts score what the bias says; very long ones are scored whole; rows that
+    repeat go or stay alike; a null id is as good as any; without labels all
+    rows stay; an empty table gives an empty result.  Columns keep their
+    places, whatever their names.
     """
     docs = pick(df, doc_id="doc_id", text="text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model = df.sparkSession.sparkContext.broadcast(train(docs, labels, bound=bound, held_out=False))
-    at = next(i for i, c in enumerate(df.columns) if c == "text")
+    trained = train(docs, labels, bound=bound, held_out=False)
+    if not trained.slots.size:
+        return df
+    model = df.sparkSession.sparkContext.broadcast(trained)
+    rows = beside(df, text="text").withColumn("text", F.col("text").cast("string"))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 19):
-            scores = model.value.scores([t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()])
-            kept = batch.filter(pa.array(scores < threshold))
+        hold("toxicity")
+        for batch in slices(batches, "text", SLICE):
+            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
+            kept = batch.filter(pa.array(model.value.scores([t or b"" for t in texts]) < threshold))
             if kept.num_rows:
                 yield kept
 
-    return df.mapInArrow(part, df.schema)
+    return restored(rows.mapInArrow(part, rows.schema), df)
