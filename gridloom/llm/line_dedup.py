@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, partitions, pick, settle_round, slices, table, tidy
+from .common import WORD, beside, hold, let, look_up, partitions, pick, restored, settle_round, slices, table, tidy
 
 MIN_WORDS = 50
 #: Deletions of up to so many documents and lines are broadcast to the texts; more are joined by a shuffle.
@@ -71,6 +71,7 @@ def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
     schema = fields(NAMES)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("lines")
         for batch in slices(batches, "text"):
             cols: list[list] = [[] for _ in NAMES]
             for doc, tie, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -120,8 +121,9 @@ def numbered(lines: DataFrame) -> DataFrame:
 
 def named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The (settled) rows whose key repeats, with the key's first position as name."""
-    repeated = settle_round(rows.groupBy(*keys).agg(F.min("pos").alias("name"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    return settle_round(rows.join(repeated, keys).drop(*keys))
+    repeated = settle_round(rows.groupBy(*keys).agg(F.min("pos").alias("name"), F.count("*").alias("n")).where("n > 1"))
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    return settle_round(look_up(rows, repeated, keys, total).drop(*keys))
 
 
 def later_runs(lines: DataFrame) -> DataFrame:
@@ -167,10 +169,12 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     earlier, in the order of (doc_id, text's hash, line), is deleted; shorter
     repeats stay.  n_lines counts all lines.
 
-    A null text stays null and has no lines; null ids come first in the order;
+    A null text stays null and has no lines; an empty one has one line; a very
+    long one is a sequence like any other; null ids come first in the order;
     rows that repeat both id and text are one document, so they keep or lose
-    the same lines; lines without words are no part of a run and stay; an
-    empty table gives an empty result.
+    the same lines; lines without words are no part of a run and stay; extra
+    columns are left out, whatever their names; an empty table gives an empty
+    result.
     """
     docs = keyed(pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     return without_deleted(docs, min_words).select(
@@ -184,13 +188,21 @@ def without_deleted(docs: DataFrame, min_words: int) -> DataFrame:
     size = found.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("deleted")), F.lit(0)).alias("lines")).first()
     near = F.broadcast(found) if size["rows"] <= FEW_ROWS and size["lines"] <= FEW_LINES else found
     split = F.split("text", "\n")
-    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("deleted", i)), "\n")
+    kept = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("deleted"))
+    left = let(split, lambda lines: F.array_join(F.transform(kept(lines), lambda i: F.get(lines, i)), "\n"))
     joined = docs.join(near, ["doc", "tie"], "left").withColumn("n_lines", F.size(split))
     return joined.withColumn("text", F.when(F.col("deleted").isNull(), F.col("text")).otherwise(left))
 
 
 def deduped_documents(df: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows with all their columns, less the deleted lines; a text that loses its last word goes."""
-    rows = without_deleted(keyed(df), min_words)
+    """The rows with all their columns, less the deleted lines; a text that loses its last word goes.
+
+    Null, empty and wordless texts have no run and stay; very long texts are
+    taken whole; null ids come first in the order of copies; rows that repeat
+    id and text keep or lose the same lines; an empty table gives an empty
+    result.  Columns keep their places, whatever their names.
+    """
+    rows = without_deleted(keyed(beside(df, doc_id="doc_id", text="text").withColumn("text", F.col("text").cast("string"))), min_words)
     gone = F.col("deleted").isNotNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    return rows.where(~gone).withColumn("n_chars", F.char_length("text").cast("long")).select(*df.columns)
+    rows = rows.where(~gone).withColumn("n_chars", F.char_length("text").cast("long"))
+    return restored(rows, df, text="text", n_chars="n_chars")

@@ -12,7 +12,8 @@ are compared by their sketches, a byte for each coordinate, in blocks: first eac
 with the one most alike, then, when that gives no more links, all that are alike
 enough are verified.  Members that are already connected need no
 comparison; a link between components is lost only where banding or the sketch
-misses it.
+misses it.  Band keys, hubs and components may be hot: they are looked up by
+``look_up``, and hubs' members are dealt out in parts.
 """
 
 from __future__ import annotations
@@ -26,20 +27,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, pick, settle_round, slices, table, tidy
-from .fingerprints import mixed, shingles, word_hashes
+from .common import beside, hold, look_up, partitions, pick, restored, settle_round, slices, table, tidy
+from .fingerprints import HASHES, mixed, shingles, word_hashes
 
 WORDS = 5
 SIMILARITY = 75  # per cent
 BANDS, ROWS = 32, 4
 UNIVERSE = 1 << 22
+#: Coordinates of a signature at most.
+SHIFTS = 4096
 #: Candidate tables of so many narrow rows are broadcast to the texts; larger ones are joined by a shuffle.
 FEW = 100_000
 #: Members of a bucket that a task compares with as many others at a time.
 BLOCK = 4096
 SKETCH = 512
-#: Pairs whose estimated similarity is so much below the least one aren't verified: four standard deviations of the sketch.
-MARGIN = 0.08
+#: Pairs whose estimated similarity is so much below the least one aren't verified: six standard deviations of the sketch.
+MARGIN = 0.12
 #: A hub's members are dealt out in parts of about so many.
 PART = 256
 
@@ -50,10 +53,21 @@ def shingle_set(text: bytes, k: int = WORDS) -> np.ndarray:
 
 
 @cache
+def circle() -> np.ndarray:
+    """The second permutation, and its beginning once more: 16 MB, once in a worker."""
+    pi = np.arange(UNIVERSE, dtype=np.uint32)
+    np.random.default_rng(75).shuffle(pi)
+    return np.concatenate([pi, pi[:SHIFTS]])
+
+
 def shifted(k: int) -> np.ndarray:
     """The second permutation at each place and the k - 1 after it, around the circle."""
-    pi = np.random.default_rng(75).permutation(UNIVERSE).astype(np.uint32)
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[: k - 1]]), k)
+    return np.lib.stride_tricks.sliding_window_view(circle()[: UNIVERSE + k - 1], k)
+
+
+def forget() -> None:
+    circle.cache_clear()
+    HASHES.clear()
 
 
 def signature(items: np.ndarray, k: int) -> np.ndarray:
@@ -89,6 +103,7 @@ def signed_rows(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     schema = pa.schema([*[(c, pa.int64()) for c in ("doc_id", "n_shingles", "d1", "d2")], ("bands", pa.list_(pa.int64()))])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("minhash", forget)
         for batch in slices(batches, "text"):
             cols: list[list] = [[], [], [], []]
             for text in batch.column(1).cast(pa.binary()).to_pylist():
@@ -109,6 +124,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int, bands: int, rows: int
     schema = pa.schema([("cid", pa.int64()), ("items", pa.binary()), ("sketch", pa.binary())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("minhash", forget)
         for batch in slices(batches, "text"):
             cids, packed, sketches = [], [], []
             for text, cid, d1, d2 in zip(batch.column(0).cast(pa.binary()).to_pylist(), *(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
@@ -160,24 +176,28 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return rows.mapInArrow(part, "a long, b long")
 
 
-def components(edges: DataFrame, most: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """cid and comp, its least reachable cid, of all ends of (a, b).
 
     Each round a node takes the least label of its neighbours and itself, then
-    the label that its label has come to.
+    the label that its label has come to.  Labels only ever get less, so it ends.
     """
     ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = settle_round(ends.union(ends.select("a", F.col("a").alias("b"))).distinct())
-    labels = both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("comp"))
-    for _ in range(most):
-        heard = settle_round(both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("new"), F.max(F.when(F.col("a") == F.col("b"), F.col("comp"))).alias("old")))
-        far = heard.select(F.col("a").alias("new"), F.col("new").alias("far"))
-        jumped = settle_round(heard.join(far, "new").select("a", "old", F.col("far").alias("new")))
-        labels = jumped.select(F.col("a").alias("cid"), F.col("new").alias("comp"))
+    total = both.count()
+    # Neighbours are mutual, so a node's rows as a are as many as those as b.
+    labels = both.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("comp"), F.count("*").alias("n"))
+    while True:
+        met = look_up(both, labels, ["b"], total)
+        heard = settle_round(met.groupBy("a").agg(F.min("comp").alias("new"), F.max(F.when(F.col("a") == F.col("b"), F.col("comp"))).alias("old"), F.count("*").alias("n")))
+        sizes = heard.groupBy("new").agg(F.count("*").alias("__n"))
+        far = heard.select(F.col("a").alias("new"), F.col("new").alias("far")).join(sizes, "new").withColumnRenamed("__n", "n")
+        jumped = look_up(heard.withColumnRenamed("n", "degree"), settle_round(far), ["new"], total)
+        jumped = settle_round(jumped.select("a", "old", F.col("far").alias("new"), "degree"))
+        labels = jumped.select(F.col("a").alias("b"), F.col("new").alias("comp"), F.col("degree").alias("n"))
         tidy(edges.sparkSession)
         if not jumped.where("old <> new").head(1):
-            return labels
-    raise RuntimeError("components did not settle")
+            return labels.select(F.col("b").alias("cid"), "comp")
 
 
 def apart_pairs(now: DataFrame, sketches: DataFrame, least: float, best: bool) -> DataFrame:
@@ -249,8 +269,9 @@ def apart_pairs(now: DataFrame, sketches: DataFrame, least: float, best: bool) -
 def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similarity: int, bands: int, rows: int) -> DataFrame | None:
     """cid and comp of the classes that have links, from (cid, rep, d1, d2, bands)."""
     keyed = classes.select("cid", F.explode("bands").alias("key"))
-    hubs = settle_round(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    members = settle_round(keyed.join(hubs, "key").select("key", "cid", "hub"))
+    hubs = settle_round(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1"))
+    total = hubs.agg(F.sum("n")).first()[0] or 0
+    members = settle_round(look_up(keyed, hubs, ["key"], total).select("key", "cid", "hub"))
     wanted = settle_round(members.select("cid").distinct().join(classes.select("cid", "rep", "d1", "d2"), "cid"))
     if not wanted.head(1):
         return None
@@ -298,13 +319,14 @@ def near_duplicates(
     case); a shorter one is one shingle as a whole.  Documents are linked if
     their sets' Jaccard index is at least ``similarity`` per cent.  With 32
     bands of 4 rows a pair at 75 per cent is missed by banding with probability
-    5.2e-6; one that only the sketches compare also by their estimate, with 2.4e-5,
-    so by either with 2.9e-5 at most (coordinates taken as independent).
-
-    Texts that are null or have no words have an empty set and no link.  A row
-    of a null id is in no component (null) and kept.  Rows that repeat an id
-    are one node, so what either is linked with is linked.  An empty table
-    gives an empty result.
+    5.2e-6; one that only the sketches compare also by their estimate, with
+    probability 1.1e-9 (coordinates taken as independent).
+
+    Texts that are null or have no words have an empty set and no link; a very
+    long text's set is that of the whole text.  A row of a null id is in no
+    component (null) and kept.  Rows that repeat an id are one node, so what
+    either is linked with is linked.  Extra columns are left out, whatever
+    their names.  An empty table gives an empty result.
     """
     docs = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = settle_round(signed_rows(docs, words, bands, rows))
@@ -342,14 +364,19 @@ def one_node(placed: DataFrame) -> DataFrame:
 
 
 def without_copies(df: DataFrame, **options) -> DataFrame:
-    """One row for each component: the first by id; of rows that repeat that id, one.
+    """One row for each component, with all its columns: the first by id.
 
-    Rows of null ids stay.
+    Of rows that repeat that id, the one with the least hash of its columns
+    stays.  Rows of null ids stay, and so do null, empty and wordless texts, a
+    row for each id; very long texts are compared whole; an empty table gives an
+    empty result.  Columns keep their places, whatever their names.
     """
     found = near_duplicates(df, **options).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    found = settle_round(found.select(F.col("doc_id").alias("__kept"), "n"))
+    found = settle_round(found.select(F.col("doc_id").alias("kept_id"), "n"))
     near = F.broadcast(found) if found.count() <= FEW else found
-    kept = df.where(F.col("doc_id").isNotNull()).join(near, F.col("doc_id") == F.col("__kept"), "left_semi")
+    rows = beside(df, doc_id="doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
+    kept = rows.where(F.col("doc_id").isNotNull()).join(near, F.col("doc_id") == F.col("kept_id"), "left_semi")
     if found.where("n > 1").head(1):
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(df.where(F.col("doc_id").isNull()))
+        order = F.xxhash64(*[F.col(c) for c in rows.columns])
+        kept = kept.groupBy("doc_id").agg(F.min(F.struct(order.alias("order"), *rows.columns[:-1])).alias("row")).select("row.*", "doc_id").drop("order")
+    return restored(kept.unionByName(rows.where(F.col("doc_id").isNull())), df)

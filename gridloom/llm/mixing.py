@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pick, settle
+from .common import WORD, beside, pick, restored, settle
 
 SEED = 20_240_229
 #: Rows that a key range holds on average.
@@ -159,12 +159,16 @@ def mixed_documents(df: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: fl
     """The mixed documents themselves, with the columns of ``documents``.
 
     A document taken more than once is repeated; one taken in part keeps its
-    first words, joined by spaces.  Documents without words give nothing.
+    first words, joined by spaces.  Null, empty and wordless texts give nothing;
+    very long ones are taken like others; a null source is the last source;
+    rows that repeat id and text have one key, so they are cut alike; an empty
+    table gives an empty result.  Columns keep their places, whatever their
+    names.
     """
     sized = settle(sized_rows(df, "doc_id", "text", "source", seed))
     cuts = source_cuts(sized, weights, cap, share)
-    text = F.col("text").cast("string")
-    rows = df.withColumn("key", random_key(F.col("doc_id"), text, seed)).withColumn("size", word_count(text))
+    rows = beside(df, doc_id="doc_id", text="text", source="source").withColumn("text", F.col("text").cast("string")).withColumn("source", F.col("source").cast("string"))
+    rows = rows.withColumn("key", random_key(F.col("doc_id"), F.col("text"), seed)).withColumn("size", word_count(F.col("text")))
     rows = with_taken(rows, cuts).where("taken > 0")
     whole = F.floor(F.col("taken") / F.col("size"))
     part = F.col("taken") - whole * F.col("size")
@@ -172,4 +176,4 @@ def mixed_documents(df: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: fl
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("whole") + F.when(F.col("part") > 0, 1).otherwise(0))))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("part")), " ")
     rows = rows.withColumn("text", F.when(F.col("copy") > F.col("whole"), first).otherwise(F.col("text")))
-    return rows.withColumn("n_chars", F.char_length("text").cast("long")).select(*df.columns)
+    return restored(rows.withColumn("n_chars", F.char_length("text").cast("long")), df, text="text", n_chars="n_chars")
