@@ -109,15 +109,23 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle_round(df: DataFrame) -> DataFrame:
+def settle_round(df: DataFrame, rows: int | None = None, each: int = 200_000, costly: bool = False) -> DataFrame:
     """``settle`` for the rounds of a loop: without the estimated size.
 
     A checkpoint hands on the size that the optimizer expected, and a join's is
     the product of its inputs'.  Over a loop's rounds that number would get
     millions of digits and fill the driver.
+
+    With ``rows``, which the result has at most, it is written in files of about
+    ``each`` rows, so that what is small in a loop isn't spread over as many
+    files, and later shuffles over as many more, as the whole input.  ``costly``
+    rows are made by as many tasks as before and dealt out to those files.
     """
     from pyspark.sql.classic.dataframe import DataFrame as Classic
 
+    if rows is not None:
+        files = max(1, -(-rows // each))
+        df = df.repartition(files) if costly else df.coalesce(files)
     settled = settle(df)._jdf
     spark = df.sparkSession
     rows = settled.queryExecution().toRdd()

@@ -123,7 +123,7 @@ def named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The (settled) rows whose key repeats, with the key's first position as name."""
     repeated = settle_round(rows.groupBy(*keys).agg(F.min("pos").alias("name"), F.count("*").alias("n")).where("n > 1"))
     total = repeated.agg(F.sum("n")).first()[0] or 0
-    return settle_round(look_up(rows, repeated, keys, total).drop(*keys))
+    return settle_round(look_up(rows, repeated, keys, total).drop(*keys), total)
 
 
 def later_runs(lines: DataFrame) -> DataFrame:

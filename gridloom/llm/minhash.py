@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, hold, look_up, partitions, pick, restored, settle_round, slices, table, tidy
+from .common import beside, hold, look_up, pick, restored, settle_round, slices, table, tidy
 from .fingerprints import HASHES, mixed, shingles, word_hashes
 
 WORDS = 5
@@ -43,6 +43,8 @@ BLOCK = 4096
 SKETCH = 512
 #: Pairs whose estimated similarity is so much below the least one aren't verified: six standard deviations of the sketch.
 MARGIN = 0.12
+#: Shingle sets in a file of theirs, about.
+SETS = 4000
 #: A hub's members are dealt out in parts of about so many.
 PART = 256
 
@@ -146,14 +148,13 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     The members b of a hub a are dealt out in parts; each part gets the hub's
     set once, first in order, and its members' sets then stream past it.
     """
-    n = partitions(pairs.sparkSession)
     sets = sets.select("cid", "items")
-    hubs = settle_round(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
+    hubs = settle_round(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), pairs.count())
     part_of = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
     members = pairs.join(hubs, "a").select("a", part_of, F.col("b").alias("cid")).join(sets, "cid")
     members = members.select("a", "part", F.lit(1).alias("kind"), "cid", "items")
     firsts = hubs.withColumnRenamed("a", "cid").join(sets, "cid").select(F.col("cid").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "cid", "items")
-    rows = members.unionByName(firsts).repartition(n, "a", "part").sortWithinPartitions("a", "part", "kind")
+    rows = members.unionByName(firsts).repartition("a", "part").sortWithinPartitions("a", "part", "kind")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,46 +184,48 @@ def components(edges: DataFrame) -> DataFrame:
     the label that its label has come to.  Labels only ever get less, so it ends.
     """
     ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = settle_round(ends.union(ends.select("a", F.col("a").alias("b"))).distinct())
+    both = settle_round(ends.union(ends.select("a", F.col("a").alias("b"))).distinct(), 4 * edges.count())
     total = both.count()
     # Neighbours are mutual, so a node's rows as a are as many as those as b.
     labels = both.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("comp"), F.count("*").alias("n"))
     while True:
         met = look_up(both, labels, ["b"], total)
-        heard = settle_round(met.groupBy("a").agg(F.min("comp").alias("new"), F.max(F.when(F.col("a") == F.col("b"), F.col("comp"))).alias("old"), F.count("*").alias("n")))
+        heard = settle_round(met.groupBy("a").agg(F.min("comp").alias("new"), F.max(F.when(F.col("a") == F.col("b"), F.col("comp"))).alias("old"), F.count("*").alias("n")), total)
         sizes = heard.groupBy("new").agg(F.count("*").alias("__n"))
         far = heard.select(F.col("a").alias("new"), F.col("new").alias("far")).join(sizes, "new").withColumnRenamed("__n", "n")
-        jumped = look_up(heard.withColumnRenamed("n", "degree"), settle_round(far), ["new"], total)
-        jumped = settle_round(jumped.select("a", "old", F.col("far").alias("new"), "degree"))
+        jumped = look_up(heard.withColumnRenamed("n", "degree"), settle_round(far, total), ["new"], total)
+        jumped = settle_round(jumped.select("a", "old", F.col("far").alias("new"), "degree"), total)
         labels = jumped.select(F.col("a").alias("b"), F.col("new").alias("comp"), F.col("degree").alias("n"))
         tidy(edges.sparkSession)
         if not jumped.where("old <> new").head(1):
             return labels.select(F.col("b").alias("cid"), "comp")
 
 
-def apart_pairs(now: DataFrame, sketches: DataFrame, least: float, best: bool) -> DataFrame:
+def apart_pairs(now: DataFrame, sketches: DataFrame, least: float, best: bool) -> DataFrame | None:
     """Pairs (a, b) of a bucket's members in different components whose sketches are alike enough.
 
-    With ``best`` only the most alike one of each member that is outside, in one
-    bucket of four: a first look, which a call without it must follow.
+    None if all members of each bucket are in one component.  With ``best`` only
+    the most alike one of each member that is outside, in one bucket of four: a
+    first look, which a call without it must follow.
 
     ``now`` has key, cid and comp.  Members outside of a bucket's largest
     component meet all its members, block by block: a block's sketches fit in
     a task however large the bucket is, and only pairs that pass become rows.
     """
-    n = partitions(now.sparkSession)
     if best:
         now = now.where(F.pmod("key", F.lit(4)) == 0)
     counts = now.groupBy("key", "comp").agg(F.count("*").alias("n"))
     split = counts.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("largest"), F.max_by("comp", "n").alias("main")).where("n > largest")
-    split = settle_round(split)
+    split = settle_round(split, now.count())
+    if not split.head(1):
+        return None
     now = now.join(split, "key").join(sketches, "cid").withColumn("outside", F.col("comp") != F.col("main"))
     across, down = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil((F.col("n") - F.col("largest")) / BLOCK).cast("int")
     now = now.withColumn("col", F.pmod(F.xxhash64("cid"), across).cast("int")).withColumn("row", F.pmod(F.xxhash64(F.lit(1), "cid"), down).cast("int"))
     every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
     held = now.select("key", every(down).alias("row"), "col", F.lit(0).alias("role"), "cid", "comp", "outside", "sketch")
     asked = now.where("outside").select("key", "row", every(across).alias("col"), F.lit(1).alias("role"), "cid", "comp", "outside", "sketch")
-    rows = held.unionByName(asked).repartition(n, "key", "row", "col").sortWithinPartitions("key", "row", "col", "role")
+    rows = held.unionByName(asked).repartition("key", "row", "col").sortWithinPartitions("key", "row", "col", "role")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def alike(key: int, block: list, asked: list) -> tuple[np.ndarray, np.ndarray]:
@@ -269,37 +272,42 @@ def apart_pairs(now: DataFrame, sketches: DataFrame, least: float, best: bool) -
 def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similarity: int, bands: int, rows: int) -> DataFrame | None:
     """cid and comp of the classes that have links, from (cid, rep, d1, d2, bands)."""
     keyed = classes.select("cid", F.explode("bands").alias("key"))
-    hubs = settle_round(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1"))
+    bands_of = bands * classes.count()
+    hubs = settle_round(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1"), bands_of)
     total = hubs.agg(F.sum("n")).first()[0] or 0
-    members = settle_round(look_up(keyed, hubs, ["key"], total).select("key", "cid", "hub"))
-    wanted = settle_round(members.select("cid").distinct().join(classes.select("cid", "rep", "d1", "d2"), "cid"))
-    if not wanted.head(1):
+    members = settle_round(look_up(keyed, hubs, ["key"], total).select("key", "cid", "hub"), total)
+    wanted = settle_round(members.select("cid").distinct().join(classes.select("cid", "rep", "d1", "d2"), "cid"), total)
+    count = wanted.count()
+    if not count:
         return None
-    sets = settle_round(class_sets(docs, wanted, k, bands, rows))
+    sets = settle_round(class_sets(docs, wanted, k, bands, rows), count, SETS)
     tidy(docs.sparkSession)
 
     # Each member meets the hub with which it shares most buckets.
     shared = members.where("cid <> hub").groupBy("cid", "hub").agg(F.count("*").alias("n"))
     hub_of = shared.groupBy("cid").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("m"))
-    tested = settle_round(hub_of.select((-F.col("m.h")).alias("a"), F.col("cid").alias("b")))
-    edges = settle_round(verified(tested, sets, similarity))
+    tested = settle_round(hub_of.select((-F.col("m.h")).alias("a"), F.col("cid").alias("b")), count)
+    edges = settle_round(verified(tested, sets, similarity), count, costly=True)
     tidy(docs.sparkSession)
     linked = components(edges)
     sketches, least = sets.select("cid", "sketch"), similarity / 100 - MARGIN
     best = True
     while True:
-        now = settle_round(members.select("key", "cid").join(linked, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+        now = settle_round(members.select("key", "cid").join(linked, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), total)
         # In a tested pair the lesser one is a.
-        pairs = settle_round(apart_pairs(now, sketches, least, best).distinct().join(tested, ["a", "b"], "left_anti"))
-        fresh = settle_round(verified(pairs, sets, similarity)) if pairs.head(1) else None
-        found = fresh is not None and bool(fresh.head(1))
+        pairs = apart_pairs(now, sketches, least, best)
+        found = False
+        if pairs is not None:
+            pairs = settle_round(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+            fresh = settle_round(verified(pairs, sets, similarity), n, costly=True) if (n := pairs.count()) else None
+            found = fresh is not None and bool(fresh.head(1))
+            tested = settle_round(tested.union(pairs), tested.count() + n)
         tidy(docs.sparkSession)
         if found:
-            edges = settle_round(edges.union(fresh))
+            edges = settle_round(edges.union(fresh), edges.count() + n)
             linked = components(edges)
         if not best:
             return linked
-        tested = settle_round(tested.union(pairs))
         # Once the most alike pairs give no more links, all others are compared.
         best = found
 
@@ -330,22 +338,22 @@ def near_duplicates(
     """
     docs = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = settle_round(signed_rows(docs, words, bands, rows))
-    classes = signed.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = settle_round(classes.select(F.monotonically_increasing_id().alias("cid"), "rep", "d1", "d2", "bands"))
+    n = signed.count()
+    least = signed.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("n"))
+    classes = settle_round(least.select(F.monotonically_increasing_id().alias("cid"), "rep", "d1", "d2", "bands", "n"), n, 40_000)
     linked = linked_classes(docs, classes, words, similarity, bands, rows)
 
-    found = classes.select("cid", "rep", "d1", "d2")
+    found = classes.select("cid", "rep", "d1", "d2", "n").withColumn("component_id", F.col("rep"))
     if linked is not None:
         least = found.join(linked, "cid").groupBy("comp").agg(F.min("rep").alias("least"))
         of = linked.join(least, "comp").select("cid", "least")
-        found = found.join(of, "cid", "left").select("d1", "d2", F.least("rep", "least").alias("component_id"))
-    else:
-        found = found.select("d1", "d2", F.col("rep").alias("component_id"))
-    found = settle_round(found)
-    # Rows without a set get a key of their own, which no class has.
-    key1, key2 = F.coalesce("d1", F.xxhash64("doc_id")), F.coalesce("d2", F.lit(-1))
-    placed = signed.select("doc_id", "n_shingles", key1.alias("d1"), key2.alias("d2")).join(found, ["d1", "d2"], "left")
-    placed = settle_round(placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+        found = found.join(of, "cid", "left").withColumn("component_id", F.least("rep", "least"))
+    found = settle_round(found.select("d1", "d2", "component_id", "n"), n)
+    # Copies of one text may be a large share of all rows.
+    own = signed.where("d1 IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "d1", "d2")
+    placed = look_up(own, found, ["d1", "d2"], n).select("doc_id", "n_shingles", "component_id")
+    others = signed.where("d1 IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    placed = settle_round(placed.unionByName(others), n)
     placed = one_node(placed)
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -354,7 +362,7 @@ def near_duplicates(
 def one_node(placed: DataFrame) -> DataFrame:
     """Join the components in which one repeated id stands."""
     many = placed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b")).where("a < b")
-    many = settle_round(many)
+    many = settle_round(many, placed.count())
     if not many.head(1):
         return placed
     # All components of such an id, each an edge to the least of them.
@@ -372,7 +380,7 @@ def without_copies(df: DataFrame, **options) -> DataFrame:
     empty result.  Columns keep their places, whatever their names.
     """
     found = near_duplicates(df, **options).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    found = settle_round(found.select(F.col("doc_id").alias("kept_id"), "n"))
+    found = settle_round(found.select(F.col("doc_id").alias("kept_id"), "n"), df.count())
     near = F.broadcast(found) if found.count() <= FEW else found
     rows = beside(df, doc_id="doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
     kept = rows.where(F.col("doc_id").isNotNull()).join(near, F.col("doc_id") == F.col("kept_id"), "left_semi")

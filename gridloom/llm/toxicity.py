@@ -31,7 +31,9 @@ BLOCK, MANY = 1 << 17, 1 << 21
 #: Bytes of texts that are looked at together.
 SLICE = 1 << 18
 #: The fit ends at a gradient of this norm, or with a warning after so many steps.
-GRADIENT, MOST_STEPS = 1e-4, 20_000
+GRADIENT, MOST_STEPS = 1e-5, 100
+#: Labelled texts of a class that the fit, with a matrix of all pairs of them, may be given; features multiplied at a time.
+MOST_BOUND, COLUMNS = 4000, 2048
 
 
 def grams(joined: np.ndarray, n: int) -> np.ndarray:
@@ -123,41 +125,62 @@ class Counts:
         return np.sort(best[z[best] > 3])
 
 
+def gram_matrix(rows: list[np.ndarray], scale: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Products of all pairs of scaled rows, summed over columns a block at a time."""
+    out = np.zeros((len(rows), len(rows)))
+    columns = [np.searchsorted(chosen, r) for r in rows]
+    for a in range(0, chosen.size, COLUMNS):
+        block = np.zeros((len(rows), min(COLUMNS, chosen.size - a)), np.float32)
+        for i, c in enumerate(columns):
+            block[i, c[np.searchsorted(c, a) : np.searchsorted(c, a + COLUMNS)] - a] = 1
+        block *= scale[a : a + COLUMNS]
+        out += block @ block.T
+    return out
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.ndarray, prior: float, alpha: float = 1.0, decay: float = 1e-3) -> Model:
-    """Fit to the chosen slots of each text; ``prior`` is the toxic share among all labelled texts."""
+    """Fit to the chosen slots of each text; ``prior`` is the toxic share among all labelled texts.
+
+    The best weights are a combination of the texts, of which there are far
+    fewer than features: Newton steps find its factors (and the bias), each by
+    a system with a row per text.
+    """
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     if not chosen.size:
         return Model(chosen, np.empty(0), float(np.log(prior / (1 - prior))))
     ratio = counts.ratio(alpha)[chosen]
-    row = np.repeat(np.arange(len(rows)), [r.size for r in rows])
-    col = np.searchsorted(chosen, np.concatenate(rows))
-    value = ratio[col]
-    y = toxic.astype(float)
-    w, b = np.zeros(chosen.size), 0.0
-    # The features' largest squared singular value, by power iteration, bounds the curvature and with it the step.
-    u, largest = np.ones(chosen.size + 1) / np.sqrt(chosen.size + 1), 0.0
-    for _ in range(30):
-        xu = np.bincount(row, value * u[col], len(rows)) + u[-1]
-        u = np.append(np.bincount(col, value * xu[row], chosen.size), xu.sum())
-        largest = float(np.linalg.norm(u))
-        u /= largest
-    step = 1 / (1.1 * largest / (4 * y.size) + decay)
-    # Accelerated gradient steps; the momentum starts anew where it leads uphill.
-    vw, vb, k = w.copy(), b, 1
+    y, n = toxic.astype(float), len(rows)
+    products = gram_matrix(rows, ratio, chosen)
+    factors, b = np.zeros(n), 0.0
+
+    def loss(factors: np.ndarray, b: float) -> tuple[float, np.ndarray]:
+        said = products @ factors
+        return float(np.logaddexp(0, said + b).mean() - (y * (said + b)).mean() + decay / 2 * factors @ said), said + b
+
+    now, margin = loss(factors, b)
     for _ in range(MOST_STEPS):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * vw[col], len(rows)) + vb, -500, 500)))
-        g, gb = np.bincount(col, value * (p - y)[row], chosen.size) / y.size + decay * vw, float((p - y).mean())
-        if g @ g + gb * gb <= GRADIENT**2:
-            w, b = vw, vb
+        p = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
+        # In terms of the factors the gradient is products @ g, and the bias's is the mean of p - y.
+        g = (p - y) / n + decay * factors
+        if g @ products @ g + (p - y).mean() ** 2 <= GRADIENT**2:
             break
-        nw, nb = vw - step * g, vb - step * gb
-        k = 1 if g @ (nw - w) + gb * (nb - b) > 0 else k + 1
-        vw, vb = nw + (k - 1) / (k + 2) * (nw - w), nb + (k - 1) / (k + 2) * (nb - b)
-        w, b = nw, nb
+        # Newton's step solves (curvature * products + decay) d + curvature * db = -g, with sum(curvature * (products d + db)) = -sum(p - y) / n.
+        curvature = np.maximum(p * (1 - p), 1e-9) / n
+        system = curvature[:, None] * products
+        system[np.diag_indices(n)] += decay
+        one, two = np.linalg.solve(system, np.stack([-g, -curvature], axis=1)).T
+        db = float((-(p - y).sum() / n - curvature @ (products @ one)) / (curvature.sum() + curvature @ (products @ two)))
+        d, step = one + db * two, 1.0
+        while (new := loss(factors + step * d, b + step * db))[0] > now and step > 1e-6:
+            step /= 2
+        factors, b, now, margin = factors + step * d, b + step * db, *new
     else:
         warnings.warn(f"the fit's gradient is above {GRADIENT} after {MOST_STEPS} steps", stacklevel=2)
+    w = np.zeros(chosen.size)
+    for r, f in zip(rows, factors, strict=True):
+        w[np.searchsorted(chosen, r)] += f
     # The sample may be balanced; the scores are for the labelled share.
-    return Model(chosen, ratio * w, b + float(np.log(prior / (1 - prior)) - np.log(counts.toxic / counts.clean)))
+    return Model(chosen, ratio * ratio * w, b + float(np.log(prior / (1 - prior)) - np.log(counts.toxic / counts.clean)))
 
 
 def sampled_texts(docs: DataFrame, marked: DataFrame, bound: int) -> tuple[DataFrame, float]:
@@ -220,6 +243,8 @@ def chosen_rows(sample: DataFrame, chosen: np.ndarray) -> tuple[list[np.ndarray]
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", bound: int = 1500, held_out: bool = True, most: int = 20_000) -> Model:
     """Learn from labelled texts; with ``held_out`` not from ids whose crc32 is a multiple of 5."""
+    if bound > MOST_BOUND:
+        raise ValueError(f"a bound of {bound} labelled texts a class; {MOST_BOUND} at most")
     marked = pick(labels, doc_id=id_col, label=label_col).where("doc_id IS NOT NULL AND label IS NOT NULL")
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("label") > 0).alias("toxic"))
     if held_out:
