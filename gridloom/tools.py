@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import datetime
 import decimal
 import itertools
@@ -23,6 +24,8 @@ from .sources.tables import METADATA_SCHEMA, describe, plan
 
 DEFAULT_LIMIT = 1000
 SAMPLE = 5
+#: Results that stay in the executors' memory.
+KEPT = 16
 TIMEOUT = 120.0
 NAME = re.compile(r"[A-Za-z0-9_]+")
 
@@ -62,6 +65,7 @@ class Tools:
         register(self.spark)
         self.timeout, self.progress = timeout, progress
         self._numbers = itertools.count(1)
+        self._kept: collections.OrderedDict[str, DataFrame] = collections.OrderedDict()
         self._one = threading.Lock()
 
     # -- running ---------------------------------------------------------
@@ -97,10 +101,17 @@ class Tools:
                 context.removeJobTag(tag)
 
     def materialize(self, df: DataFrame, limit: int | None = None) -> dict:
-        """Keep the whole result as a view of this session and return its head."""
+        """Keep the whole result as a view of this session and return its head.
+
+        The last KEPT results are held by the executors; what is older is
+        released, and its view computes it anew when it is asked for.
+        """
         limit = DEFAULT_LIMIT if limit is None else limit
         handle = f"result_{next(self._numbers)}"
         kept = df.persist()
+        self._kept[handle] = kept
+        while len(self._kept) > KEPT:
+            self._kept.popitem(last=False)[1].unpersist()
         kept.createOrReplaceTempView(handle)
         total = kept.count()
         rows = [[plain(v) for v in r] for r in kept.limit(limit).collect()]
@@ -139,14 +150,11 @@ class Tools:
         return self._run(work)
 
     def run_sql(self, sql: str, limit: int | None = None) -> dict:
-        statement = guard.check(sql)
+        statement = guard.check(sql, self.spark)
 
         def work() -> dict:
-            first = guard.tokens(statement)[0][1].upper()
-            # Temporary tables are views here.
-            text = re.sub(r"(?i)^(create\s+(?:or\s+replace\s+)?temp(?:orary)?)\s+table\b", r"\1 view", statement)
-            df = self.spark.sql(text)
-            return {"status": "ok"} if first in ("CREATE", "SET", "DECLARE") else self.materialize(df, limit)
+            df = self.spark.sql(statement.text)
+            return self.materialize(df, limit) if statement.reads else {"status": "ok"}
 
         return self._run(work)
 

@@ -142,14 +142,34 @@ def test_no_property_is_lost_past_the_limit(spark, folder, monkeypatch):
 
 
 @pytest.mark.parametrize("sql", ["SELECT 1", "select 'DROP x; y';", "WITH a AS (SELECT 1) SELECT * FROM a", "DESCRIBE t", "SHOW TABLES", "VALUES (1)", "CREATE TEMP VIEW v AS SELECT 1", "create or replace temporary table v as select 1", "SET VARIABLE x = 1", "EXPLAIN SELECT 1", "SELECT a.copy AS load FROM a -- DROP x"])
-def test_guard_accepts(sql):
-    guard.check(sql)
+def test_guard_accepts(spark, sql):
+    guard.check(sql, spark)
 
 
 @pytest.mark.parametrize("sql", ["", ";", "SELECT 1; SELECT 2", "DROP TABLE t", "INSERT INTO t VALUES (1)", "CREATE TABLE t AS SELECT 1", "SET spark.x = 1", "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "EXPLAIN DROP\tTABLE t", "COPY t TO 'x'", "ADD JAR 'x'", "SELECT * FROM parquet.`/etc`", "CREATE TEMP VIEW v USING csv OPTIONS (path '/etc/passwd')", "PRAGMA x=1", "CACHE TABLE t"])
-def test_guard_rejects(sql):
+def test_guard_rejects(spark, sql):
     with pytest.raises(guard.Rejected):
-        guard.check(sql)
+        guard.check(sql, spark)
+
+
+REACHING = [
+    "SELECT * FROM `text`.`/etc/passwd`", "CREATE TEMP VIEW v AS SELECT * FROM `csv`.`/etc/passwd`", "SELECT reflect('java.lang.System', 'getenv', 'PATH')",
+    "SELECT 1 WHERE EXISTS (SELECT JAVA_METHOD('java.util.UUID', 'randomUUID'))", "WITH a AS (SELECT * FROM `json`.`/x`) SELECT 1", "EXPLAIN SELECT * FROM `orc`.`/x`",
+    "SELECT sum(a) OVER w FROM t WINDOW w AS (ORDER BY (SELECT max(value) FROM `text`.`/etc/passwd`))", "DESCRIBE `parquet`.`/x`", "SELECT * FROM identifier('text.`/etc/passwd`')",
+    "SELECT TRANSFORM (a) USING 'cat' FROM t", "EXECUTE IMMEDIATE 'DROP TABLE t'", "BEGIN SELECT 1; END", "DECLARE VARIABLE x STRING DEFAULT reflect('a', 'b')", "SELECT * FROM t LATERAL VIEW reflect('a') x",
+    "SELECT * FROM a, LATERAL (SELECT * FROM `text`.`/x`)", "FROM t INSERT INTO u SELECT *", "CREATE VIEW v AS SELECT 1",
+]
+
+
+@pytest.mark.parametrize("sql", REACHING)
+def test_guard_keeps_files_and_the_jvm_out(spark, sql):
+    with pytest.raises(guard.Rejected):
+        guard.check(sql, spark)
+
+
+@pytest.mark.parametrize("sql", ["SELECT * FROM default.t", "SELECT a, count(*) FROM t GROUP BY ALL HAVING count(*) > 1", "SELECT sum(a) OVER w FROM t WINDOW w AS (ORDER BY b)", "SELECT * FROM read_geo('x', lat_min => 1D)", "SELECT * FROM t LATERAL VIEW explode(a) e", "TABLE t", "FROM t SELECT a", "SELECT a FROM t UNION SELECT b FROM u EXCEPT SELECT 1", "SELECT * FROM t |> WHERE a > 1", "DECLARE VARIABLE x INT DEFAULT 3", "SHOW COLUMNS IN t"])
+def test_guard_lets_queries_through(spark, sql):
+    assert guard.check(sql, spark).text == sql
 
 
 def test_tools(spark, grid):
