@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cover import cover_many
+from ..functions.cover import Axis, cover_many
 from ..functions.geometry import from_wkb
 from ..plans.constraints import Constraints, parse_pins
 from ..sources.cells import read_geo
@@ -93,14 +95,34 @@ def extract(
     return joined.select(*info.dims, F.col("value").alias(value), *[F.col(f"`{k}`") for k in keys])
 
 
+def _index(place: Column, axis: Axis) -> Column:
+    """The index of the cell that a place is in.
+
+    On an even axis it is round((place - origin) / step); on any other the cell
+    of the nearest centre, found between the centres' midpoints.  Places more
+    than half a cell outside of the axis are in none.
+    """
+    centres = axis.centres
+    steps = np.diff(centres)
+    if not steps.size or np.allclose(steps, steps.mean(), rtol=1e-6, atol=0):
+        step = float(steps.mean()) if steps.size else 1.0
+        return F.round((place - F.lit(float(centres[0]))) / F.lit(step)).cast("long")
+    middles = (axis.sorted[1:] + axis.sorted[:-1]) / 2
+    low, high = axis.sorted[0] - (middles[0] - axis.sorted[0]), axis.sorted[-1] + (axis.sorted[-1] - middles[-1])
+
+    @F.pandas_udf("long")
+    def nearest(column: pd.Series) -> pd.Series:
+        v = column.to_numpy(float, na_value=np.nan)
+        inside = (v >= low) & (v <= high)
+        out = pd.Series(axis.order[np.searchsorted(middles, np.where(inside, v, low), "right")], dtype="Int64")
+        return out.mask(~inside)
+
+    return nearest(place)
+
+
 def join_by_index(points: DataFrame, cells: DataFrame, grid: Grid, y: str = "y", x: str = "x") -> DataFrame:
-    """Sub-cell assets to their cell: round((place - origin) / step) is the cell's index, so it is an equi-join."""
-    origin_y, origin_x = float(grid.ys.centres[0]), float(grid.xs.centres[0])
-    step_y = float(grid.ys.centres[1] - origin_y) if grid.ys.centres.size > 1 else 1.0
-    step_x = float(grid.xs.centres[1] - origin_x) if grid.xs.centres.size > 1 else 1.0
-    iy = F.round((F.col(y) - F.lit(origin_y)) / F.lit(step_y)).cast("long")
-    ix = F.round((F.col(x) - F.lit(origin_x)) / F.lit(step_x)).cast("long")
-    indexed = points.withColumn("__iy", iy).withColumn("__ix", ix)
+    """Sub-cell assets to their cell by its indices, so it is an equi-join."""
+    indexed = points.withColumn("__iy", _index(F.col(y), grid.ys)).withColumn("__ix", _index(F.col(x), grid.xs))
     joined = indexed.join(cells, (F.col("__iy") == F.col(f"__i_{grid.y}")) & (F.col("__ix") == F.col(f"__i_{grid.x}")))
     return joined.drop("__iy", "__ix", *[c for c in cells.columns if c.startswith("__i_")])
 
@@ -110,8 +132,6 @@ def box_candidates(features: DataFrame, grid: Grid, keys: tuple[str, ...] = ("fi
     from ..functions.geometry import bounds as box_of
     from ..functions.geometry import to_wkb
 
-    import numpy as np
-
     @F.pandas_udf("binary")
     def boxed(column):
         def one(w):

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

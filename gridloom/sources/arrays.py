@@ -16,7 +16,8 @@ from ..plans.constraints import Constraints, index_ranges
 MAX_RANK = 16
 MAX_STRINGS = 1_000_000
 MAX_CHUNK_BYTES = 256 << 20
-MAX_COORDS = 1_000_000
+#: Coordinates of an axis: a reader, and each of its tasks, holds them as float64.
+MAX_COORDS = 1 << 24
 
 SPARK_TYPES = {
     "bool": T.BooleanType(),

@@ -17,7 +17,9 @@ from pyspark.sql.datasource import (
     Filter,
     GreaterThan,
     GreaterThanOrEqual,
+    In,
     InputPartition,
+    IsNull,
     LessThan,
     LessThanOrEqual,
 )
@@ -104,13 +106,19 @@ class CellReader(DataSourceReader):
         self.exact = flag(options, "exact", True)
         self.task_bytes = int(options.get("task_bytes", TASK_BYTES))
         self.pushed: list[tuple[str, tuple[float | None, float | None]]] = []
+        #: Dimensions of which only some values are asked for; those that never match have none.
+        self.wanted: list[tuple[str, tuple]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Comparisons of a dimension narrow the box; Spark still applies them all."""
         for f in filters:
             name = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
             value = getattr(f, "value", None)
-            if name in self.info.dims and isinstance(value, int | float) and not isinstance(value, bool):
+            if name in self.info.dims and isinstance(f, IsNull):
+                self.wanted.append((name, ()))
+            elif name in self.info.dims and isinstance(f, In):
+                self.wanted.append((name, tuple(v for v in f.value if v is not None)))
+            elif name in self.info.dims and isinstance(value, int | float) and not isinstance(value, bool):
                 if isinstance(f, EqualTo):
                     self.pushed.append((name, (value, value)))
                 elif isinstance(f, GreaterThan | GreaterThanOrEqual):
@@ -135,8 +143,19 @@ class CellReader(DataSourceReader):
                 if lo <= hi:
                     kept.append(Box((*b.ranges[:d], (lo, hi), *b.ranges[d + 1 :]), b.chunk))
             found = kept
+        for name, values in self.wanted:
+            found = [part for b in found for part in self._stretches(b, self.info.dims.index(name), values)]
         return found
 
+    def _stretches(self, box: Box, d: int, values: tuple) -> Iterator[Box]:
+        """The box cut down to runs of neighbouring chunks that have any of the values along a dimension."""
+        lo, hi = box.ranges[d]
+        at = lo + np.flatnonzero(np.isin(self.info.axis(d, lo, hi + 1), values))
+        if not at.size:
+            return
+        for run in np.split(at, np.flatnonzero(np.diff(at // box.chunk[d]) > 1) + 1):
+            yield Box((*box.ranges[:d], (int(run[0]), int(run[-1])), *box.ranges[d + 1 :]), box.chunk)
+
     def partitions(self) -> list[InputPartition]:
         width = 8 if self.info.dtype == "string" else np.dtype(self.info.dtype).itemsize
         each = math.prod(self.info.chunk) * (width + 8 * len(self.info.dims))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import urllib.error
 import urllib.parse
 import urllib.request
 from concurrent.futures import ThreadPoolExecutor
@@ -35,6 +36,19 @@ def fetch_json(url: str, body: dict | None = None, timeout: float = 60) -> dict:
         return json.loads(reply.read())
 
 
+def json_or_none(url: str) -> dict | None:
+    """None where there is nothing, or nothing that is JSON; any other failure is one."""
+    try:
+        return fetch_json(url)
+    except urllib.error.HTTPError as e:
+        # Servers that don't list say of a missing key that it is forbidden.
+        if e.code in (400, 403, 404, 405, 410):
+            return None
+        raise
+    except ValueError:
+        return None
+
+
 def is_cog_asset(asset: dict) -> bool:
     kind = str(asset.get("type") or "").lower()
     return "tiff" in kind or "cog" in kind or str(asset.get("href") or "").lower().endswith((".tif", ".tiff"))
@@ -66,16 +80,16 @@ def by_time(collection: dict) -> list[tuple[float, dict]]:
     """Items in the order of their datetime; every one must have it."""
     items = collection.get("features")
     if not items:
-        raise ValueError("the STAC collection has no features (empty)")
+        raise ValueError("nothing to stack: the collection is empty")
     out = []
     for item in items:
         name, text = item.get("id", "<no id>"), (item.get("properties") or {}).get("datetime")
         if not isinstance(text, str):
-            raise ValueError(f"STAC item {name}: missing properties.datetime")
+            raise ValueError(f"item {name} says no datetime, so it has no place in the stack")
         try:
             out.append((seconds(text), item))
         except ValueError as e:
-            raise ValueError(f"STAC item {name}: {e}") from e
+            raise ValueError(f"item {name} has no usable datetime: {e}") from e
     return sorted(out, key=lambda p: p[0])
 
 
@@ -205,19 +219,13 @@ def open_http(uri: str, bounds: dict, asset: str | None) -> ArrayInfo | None:
         guard_search(bounds)
     box = bbox_of(bounds)
     url = with_query(uri, bbox=",".join(f"{v:g}" for v in box) if box else None, datetime=interval_of(bounds)) if search else uri
-    try:
-        document = fetch_json(url)
-    except (OSError, ValueError):
-        document = None
+    document = fetch_json(url) if search else json_or_none(url)
     if isinstance(document, dict) and document.get("type") in ("Feature", "FeatureCollection"):
         if document["type"] == "FeatureCollection":
             document = all_pages(url, document)
         return open_document(uri, document, url, asset)
     above, _, last = uri.rstrip("/").rpartition("/")
-    try:
-        document = fetch_json(above)
-    except (OSError, ValueError):
-        return None
+    document = json_or_none(above)
     if isinstance(document, dict) and document.get("type") == "Feature" and last in (document.get("assets") or {}):
         return open_document(uri, document, above, last)
     return None

@@ -59,6 +59,13 @@ class Store:
     def _get(self, key: str, start: int | None, length: int | None) -> bytes | None:
         raise NotImplementedError
 
+    def probe(self, key: str) -> bytes | None:
+        """``get`` of what may or may not be there: servers that don't list say of a missing key that it is forbidden."""
+        try:
+            return self.get(key)
+        except Forbidden:
+            return None
+
     def list(self, key: str = "") -> list[str]:
         """Names directly below; empty where a store can't list."""
         return []
@@ -120,8 +127,10 @@ class HttpStore(Store):
                     data = data[start:] if start < 0 or length is None else data[start : start + length]
                 return data
         except urllib.error.HTTPError as e:
-            if e.code in (403, 404, 410):
+            if e.code in (404, 410):
                 return None
+            if e.code in (401, 403):
+                raise Forbidden(f"{self._url(key)} may not be read (HTTP {e.code}); if it isn't there, the server should say 404") from e
             if e.code == 416:
                 return b""
             raise

@@ -147,11 +147,11 @@ def _geo(attributes: dict) -> tuple[str | None, list | None, list | None]:
 
 def metadata(store: Store) -> dict | None:
     """The array's metadata, in one form for both versions; None if there is no array."""
-    if (raw := store.get("zarr.json")) is not None:
+    if (raw := store.probe("zarr.json")) is not None:
         meta = json.loads(raw)
         return {"version": 3, **meta} if meta.get("node_type") == "array" else None
-    if (raw := store.get(".zarray")) is not None:
-        attributes = store.get(".zattrs")
+    if (raw := store.probe(".zarray")) is not None:
+        attributes = store.probe(".zattrs")
         return {"version": 2, **json.loads(raw), "attributes": json.loads(attributes) if attributes else {}}
     return None
 
@@ -255,10 +255,10 @@ def coordinate(store: Store, name: str, size: int) -> np.ndarray | None:
             info = open_array(name, home.child(name), with_coords=False)
         except (ValueError, PermissionError):
             continue
-        if info is None or len(info.shape) != 1 or info.shape[0] != size or size >= MAX_COORDS:
-            continue
-        if info.dtype not in ("float64", "float32", "int64", "int32"):
+        if info is None or len(info.shape) != 1 or info.shape[0] != size or info.dtype not in ("float64", "float32", "int64", "int32"):
             continue
+        if size > MAX_COORDS:
+            raise ValueError(f"the axis {name} has {size} coordinates; {MAX_COORDS} at most")
         out = np.empty(size, np.float64)
         for k in range(-(-size // info.chunk[0])):
             a, b = k * info.chunk[0], min(size, (k + 1) * info.chunk[0])
@@ -271,7 +271,7 @@ def coordinate(store: Store, name: str, size: int) -> np.ndarray | None:
 def list_arrays(store: Store) -> list[str]:
     """Names of the arrays in a group: by consolidated metadata, else by looking."""
     for key, place in ((".zmetadata", "metadata"), ("zarr.json", "consolidated_metadata")):
-        if (raw := store.get(key)) is None:
+        if (raw := store.probe(key)) is None:
             continue
         meta = json.loads(raw).get(place) or {}
         meta = meta.get("metadata", meta) if place == "consolidated_metadata" else meta
@@ -282,7 +282,7 @@ def list_arrays(store: Store) -> list[str]:
     found = []
     for name in store.list():
         child = store.child(name)
-        raw = child.get("zarr.json")
-        if child.get(".zarray") is not None or (raw is not None and json.loads(raw).get("node_type") == "array"):
+        raw = child.probe("zarr.json")
+        if child.probe(".zarray") is not None or (raw is not None and json.loads(raw).get("node_type") == "array"):
             found.append(name)
     return found

@@ -23,12 +23,12 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from .arrays import MAX_COORDS
 from .codecs import compress, encode_strings
 from .stores import local_path
 
 #: Elements of a chunk at most, where none are asked for.
 AUTO_VOLUME = 10_000_000
-MAX_COORDS = 1_000_000
 
 DTYPES = {
     "boolean": "bool", "tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64",
@@ -307,14 +307,17 @@ def export_zarr(
         axes = {}
         for d in dims:
             # The axes of an array are bounded, as its readers hold them in memory.
-            got = [r[0] for r in rows.select(d).distinct().limit(MAX_COORDS).collect()]
-            if len(got) >= MAX_COORDS:
-                raise ValueError(f"{d} has {MAX_COORDS} different coordinates or more")
-            axes[d] = np.array(sorted(got, reverse=d in descending), float if not isinstance(df.schema[d].dataType, T.IntegralType) else np.int64)
+            whole = isinstance(df.schema[d].dataType, T.IntegralType)
+            got = rows.select(F.col(d).cast("long" if whole else "double").alias("v")).distinct().limit(MAX_COORDS + 1).toArrow().column(0).to_numpy()
+            if got.size > MAX_COORDS:
+                raise ValueError(f"{d} has more than {MAX_COORDS} different coordinates")
+            got = np.sort(got)
+            axes[d] = got[::-1].copy() if d in descending else got
         spark = df.sparkSession
         for d in dims:
-            index = spark.createDataFrame([(v, i) for i, v in enumerate(axes[d].tolist())], T.StructType([T.StructField(f"__c_{d}", df.schema[d].dataType if not isinstance(df.schema[d].dataType, T.DecimalType) else T.DoubleType()), T.StructField(f"__i_{d}", T.LongType())]))
-            rows = rows.join(F.broadcast(index) if axes[d].size <= 100_000 else index, F.col(d) == F.col(f"__c_{d}")).drop(f"__c_{d}")
+            index = spark.createDataFrame(pa.table({f"__c_{d}": axes[d], f"__i_{d}": np.arange(axes[d].size)}))
+            place = F.col(d).cast("long" if axes[d].dtype.kind == "i" else "double")
+            rows = rows.join(F.broadcast(index) if axes[d].size <= 100_000 else index, place == F.col(f"__c_{d}")).drop(f"__c_{d}")
         shape = [int(axes[d].size) for d in dims]
         at = [F.col(f"__i_{d}") for d in dims]
     else:

@@ -275,7 +275,7 @@ def test_stac_stack(spark, folder):
         open_source(path, asset="red")
 
 
-@pytest.mark.parametrize("change,message", [({"times": ("2026-01-01T00:00:00Z", None)}, "missing properties.datetime"), ({"times": ("soon", "2026-01-01T00:00:00Z")}, "i0"), ({"shapes": ((2, 4), (3, 4))}, "i0 has another grid|i1 has another grid")])
+@pytest.mark.parametrize("change,message", [({"times": ("2026-01-01T00:00:00Z", None)}, "says no datetime"), ({"times": ("soon", "2026-01-01T00:00:00Z")}, "i0"), ({"shapes": ((2, 4), (3, 4))}, "i0 has another grid|i1 has another grid")])
 def test_stac_refusals(folder, change, message):
     with pytest.raises(ValueError, match=message):
         open_source(stack(folder, **change))
