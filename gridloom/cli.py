@@ -1,4 +1,4 @@
-"""The command line: info, plan, extract, resample, plot, export, ingest, search, sql, serve."""
+"""The command line: see COMMANDS; each prints for a person, for an agent (a key=value a line), or as JSON."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import argparse
 import json
 import os
 import sys
+from collections.abc import Iterator
 
 from .config import load
 from .operators.extract import extract, plan
@@ -21,14 +22,18 @@ from .sources.vector import read_features
 from .sources.zarr_sink import exists, export_zarr, remove
 
 
+COMMANDS = ("info", "extract", "resample", "plot", "export", "ingest", "search", "sql", "shell", "serve", "completions")
+MODES = ("table", "agent", "json")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="gridloom", description="Chunked geospatial arrays as tables")
-    top.add_argument("--output", choices=["table", "json"], default="table")
+    top.add_argument("--output", choices=MODES, default="table")
     sub = top.add_subparsers(dest="command", required=True)
 
     def command(name: str, text: str):
         p = sub.add_parser(name, help=text)
-        p.add_argument("--output", choices=["table", "json"], default=argparse.SUPPRESS)
+        p.add_argument("--output", choices=MODES, default=argparse.SUPPRESS)
         return p
 
     p = command("info", "what is at an address")
@@ -50,7 +55,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-y", "--yes", action="store_true")
     p = command("plot", "draw a table as text")
     p.add_argument("input")
-    p.add_argument("kind", choices=["hist", "heatmap", "line"])
+    p.add_argument("kind", choices=["hist", "heatmap", "line"], nargs="?", help="asked for, with the other choices, if left out")
     p.add_argument("--value")
     p.add_argument("--group-by")
     p.add_argument("--pin", action="append", default=[])
@@ -75,7 +80,11 @@ def parser() -> argparse.ArgumentParser:
     p = command("sql", "run a statement over arrays and tables")
     p.add_argument("sql")
     p.add_argument("--table", action="append", default=[], metavar="NAME=PATH")
+    p = command("shell", "statements one after the other, each ended by a semicolon")
+    p.add_argument("--table", action="append", default=[], metavar="NAME=PATH")
     command("serve", "an agent's tools over standard input and output")
+    p = command("completions", "a script that completes commands in a shell")
+    p.add_argument("shell", choices=["bash", "zsh", "fish"])
     return top
 
 
@@ -92,7 +101,7 @@ def free(path: str, args) -> None:
     if not exists(path):
         return
     if not args.yes:
-        if args.output == "json" or not sys.stdin.isatty():
+        if args.output != "table" or not sys.stdin.isatty():
             raise FileExistsError(f"{path} exists; overwrite it by --yes")
         if input(f"{path} exists. Overwrite it? [y/N] ").strip().lower() != "y":
             raise FileExistsError(f"{path} exists")
@@ -105,11 +114,79 @@ def views(spark, given: list[str]) -> None:
         spark.read.parquet(path).createOrReplaceTempView(name)
 
 
+def flat(data: dict, before: str = "") -> list[str]:
+    """A key=value for each leaf, the keys joined by dots."""
+    out = []
+    for k, v in data.items():
+        out += flat(v, f"{before}{k}.") if isinstance(v, dict) else [f"{before}{k}={v if isinstance(v, str) else json.dumps(v)}"]
+    return out
+
+
 def show(args, human: str, data: dict) -> None:
-    print(json.dumps({"status": "success", **data}) if args.output == "json" else human)
+    if args.output == "json":
+        print(json.dumps({"status": "success", **data}))
+    else:
+        print("\n".join(flat(data)) if args.output == "agent" else human)
+
+
+def completions(shell: str) -> str:
+    words = " ".join(COMMANDS)
+    if shell == "fish":
+        return f"complete -c gridloom -f -n __fish_use_subcommand -a '{words}'"
+    load = "autoload -U +X bashcompinit && bashcompinit\n" if shell == "zsh" else ""
+    return f"{load}complete -W '{words}' -o default gridloom"
+
+
+def ask(what: str, choices: list[str], default: str) -> str:
+    """A choice by its number or name; the default for an empty answer."""
+    print(f"{what}: " + ", ".join(f"{k} {c}" for k, c in enumerate(choices, 1)))
+    said = input(f"[{default}] ").strip()
+    if said.isdigit() and 1 <= int(said) <= len(choices):
+        return choices[int(said) - 1]
+    return said if said in choices else default
+
+
+def choose_plot(args, df) -> None:
+    """Fill in what a plot needs by asking a person."""
+    if args.output != "table" or not sys.stdin.isatty():
+        raise ValueError("say which plot: hist, heatmap or line")
+    args.kind = ask("plot", ["hist", "heatmap", "line"], "hist")
+    args.value = args.value or ask("value", df.columns, value_column(df))
+    if args.kind == "hist" and not args.group_by:
+        group = ask("group by", ["nothing", *df.columns], "nothing")
+        args.group_by = None if group == "nothing" else group
+
+
+def statements(lines) -> Iterator[str]:
+    """Statements of lines: each ends with a line that ends with a semicolon."""
+    held: list[str] = []
+    for line in lines:
+        if not held and line.strip().lower().rstrip(";") in ("exit", "quit"):
+            return
+        held.append(line)
+        if line.rstrip().endswith(";"):
+            yield "".join(held)
+            held = []
+    if "".join(held).strip():
+        yield "".join(held)
+
+
+def run_shell(args, spark, lines) -> None:
+    from .tools import Tools
+
+    tools = Tools(spark)
+    for statement in statements(lines):
+        try:
+            got = tools.run_sql(statement)
+            rows = ["\t".join(got["columns"]), *["\t".join(map(str, r)) for r in got["rows"]]] if "rows" in got else ["ok"]
+            show(args, "\n".join(rows), got)
+        except Exception as e:  # the next statement may do better
+            print(json.dumps({"status": "error", "message": str(e)}) if args.output == "json" else f"error: {e}")
 
 
 def run(args) -> None:
+    if args.command == "completions":
+        return print(completions(args.shell))
     config = load()
     if config.allow_path:
         allow(config.allow_path)
@@ -125,6 +202,8 @@ def run(args) -> None:
             row = dict(zip(METADATA_SCHEMA.names, describe(args.uri, args.asset), strict=True))
         except Group as g:
             return show(args, "Arrays:\n" + "\n".join(f"  {a}" for a in g.arrays), {"arrays": g.arrays})
+        if args.output == "agent":
+            return show(args, "", row)
         return show(args, "\n".join(f"{k}: {v}" for k, v in row.items()), {"metadata": row, "arrays": list_sources(args.uri) if args.asset else []})
 
     spark = session(**config.spark_settings())
@@ -142,6 +221,8 @@ def run(args) -> None:
         show(args, f"wrote {args.out}", {"out": args.out})
     elif args.command == "plot":
         df = spark.read.parquet(args.input)
+        if args.kind is None:
+            choose_plot(args, df)
         value = args.value or value_column(df)
         pinned = value_pins(args.pin)
         if args.kind == "hist":
@@ -169,6 +250,9 @@ def run(args) -> None:
         got = Tools(spark).run_sql(args.sql)
         rows = got.get("rows", [])
         show(args, "\n".join(["\t".join(got.get("columns", [])), *["\t".join(map(str, r)) for r in rows]]), got)
+    elif args.command == "shell":
+        views(spark, args.table)
+        run_shell(args, spark, sys.stdin)
     elif args.command == "serve":
         from .tools import Tools, serve
 
@@ -182,6 +266,8 @@ def main(argv: list[str] | None = None) -> int:
     except Exception as e:  # any failure is a message, not a trace
         if args.output == "json":
             print(json.dumps({"status": "error", "message": str(e)}))
+        elif args.output == "agent":
+            print("\n".join(flat({"status": "error", "message": str(e)})))
         else:
             print(f"error: {e}", file=sys.stderr)
         return 1

@@ -499,3 +499,7 @@ def _(spark, sf):
         return read(spark, sf, "customer").select(F.col("c_custkey").alias("dim"), F.col("c_acctbal").alias("value"))
 
     return read_zarr_metadata(spark, stored(spark, "customers", sf, make, chunks={"dim": 1000})).select("array_shape")
+
+
+# Queries over formats, files, tools and commands register themselves.
+from . import queries_surface  # noqa: E402, F401
