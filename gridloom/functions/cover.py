@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .geometry import Edges, Geometry, bounds, contains, overlap, touches
+from .geometry import Geometry, Shapes, shapes_of
 
-#: Candidate cells that are tested at a time.
-CELLS = 1 << 18
+#: Cells of the shapes' boxes that are looked at together.
+CELLS = 1 << 19
 CONVENTIONS = ("centroid", "all_touched", "area_weighted")
 
 
@@ -49,12 +49,48 @@ class Axis:
 
 
 def margins(convention: str, ys: Axis, xs: Axis) -> tuple[float, float]:
-    half = 0.0 if convention == "centroid" else 0.5 * (1 + 1e-9)
+    half = 0.0 if convention == "centroid" else 0.5
     return half * ys.step, half * xs.step
 
 
+def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the counted items its owner, and its number within the owner."""
+    which = np.repeat(np.arange(counts.size), counts)
+    return which, np.arange(which.size) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+@dataclass
+class Field:
+    """The cells of some shapes' boxes, row by row and shape by shape, as places of flat arrays."""
+
+    y0: np.ndarray  # each shape's first row, columns and rows
+    x0: np.ndarray
+    ny: np.ndarray
+    nx: np.ndarray
+
+    def __post_init__(self):
+        counts = self.ny * self.nx
+        self.base = np.cumsum(counts) - counts
+        self.size = int(counts.sum())
+
+    def at(self, shape: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+        return self.base[shape] + (row - self.y0[shape]) * self.nx[shape] + column - self.x0[shape]
+
+    def along_rows(self, values: np.ndarray, backwards: bool = False) -> np.ndarray:
+        """Running sums that start anew in each row."""
+        widths = np.repeat(self.nx, self.ny)
+        ends = np.cumsum(widths)
+        if backwards:
+            sums = np.cumsum(values[::-1])[::-1]
+            after = np.append(sums, 0.0)[ends]
+            return sums - np.repeat(after, widths)
+        sums = np.cumsum(values)
+        before = np.concatenate([[0], sums])[ends - widths]
+        return sums - np.repeat(before, widths)
+
+
 def cover_many(
-    shapes: list[Geometry],
+    shapes: list[Geometry] | Shapes,
     ys: Axis,
     xs: Axis,
     convention: str,
@@ -67,12 +103,16 @@ def cover_many(
     closed footprint.  area_weighted: as that, the weight being the common
     area.  ``rows`` and ``columns`` are half-open windows of indices.  A
     shape's cells come together, unless it alone has more than a part.
+
+    Each row of cells looks at the edges that cross it only, so the work grows
+    with a shape's outline and its cells, not with their product.
     """
-    boxes = [bounds(s) for s in shapes]
-    known = np.array([k for k, b in enumerate(boxes) if b is not None], np.int64)
-    if not known.size:
+    if not isinstance(shapes, Shapes):
+        shapes = shapes_of(shapes)
+    known = shapes.known()
+    if not known.size or (convention != "centroid" and not (ys.step and xs.step)):
         return
-    edge = np.array([boxes[k] for k in known])
+    edge = shapes.box[known]
     my, mx = margins(convention, ys, xs)
     y0, y1 = ys.span(edge[:, 1], edge[:, 3], my)
     x0, x1 = xs.span(edge[:, 0], edge[:, 2], mx)
@@ -83,56 +123,121 @@ def cover_many(
         x0, x1 = xs.clip(x0, x1, columns)
     ny, nx = np.maximum(y1 - y0, 0), np.maximum(x1 - x0, 0)
     counts = ny * nx
-    sizes = np.array([sum(len(r) for p in shapes[k] for r in p) for k in known])
     todo = np.flatnonzero(counts)
-    todo = todo[np.argsort(sizes[todo], kind="stable")]
     start = 0
     while start < todo.size:
         stop = start + max(1, int(np.searchsorted(np.cumsum(counts[todo[start:]]), CELLS, "right")))
         some = todo[start:stop]
         start = stop
-        total = counts[some]
-        which = np.repeat(np.arange(some.size), total)
-        if total.sum() > 4 * CELLS:  # one huge shape: by stretches of its rows
-            k = int(some[0])
-            step = max(1, CELLS // int(nx[k]))
-            stretches = [(a, min(a + step, int(y1[k]))) for a in range(int(y0[k]), int(y1[k]), step)]
-        else:
-            stretches = [None]
-        e = Edges([shapes[known[k]] for k in some])
+        # A shape that is too large alone goes by stretches of its rows.
+        k = int(some[0])
+        step = max(1, CELLS // int(nx[k])) if some.size == 1 else 0
+        stretches = [(a, min(a + step, int(y1[k]))) for a in range(int(y0[k]), int(y1[k]), step)] if step and counts[k] > CELLS else [None]
         for stretch in stretches:
-            if stretch is None:
-                local = np.arange(which.size) - np.repeat(np.cumsum(total) - total, total)
-                wide = nx[some][which]
-                at_y, at_x = y0[some][which] + local // wide, x0[some][which] + local % wide
-            else:
-                at_y = np.repeat(np.arange(*stretch), int(nx[k]))
-                at_x = np.tile(np.arange(int(x0[k]), int(x1[k])), stretch[1] - stretch[0])
-                which = np.zeros(at_y.size, np.int64)
-            iy, ix = ys.order[at_y], xs.order[at_x]
+            low, high = (y0[some], ny[some]) if stretch is None else (np.array([stretch[0]]), np.array([stretch[1] - stretch[0]]))
+            field = Field(low, x0[some], high, nx[some])
+            found, weight = _cells(shapes, known[some], field, ys, xs, convention)
+            which = np.searchsorted(field.base, found, "right") - 1
+            local = found - field.base[which]
+            iy, ix = ys.order[field.y0[which] + local // field.nx[which]], xs.order[field.x0[which] + local % field.nx[which]]
             keep = np.ones(iy.size, bool)
             if rows is not None and not ys.monotonic:
                 keep &= (iy >= rows[0]) & (iy < rows[1])
             if columns is not None and not xs.monotonic:
                 keep &= (ix >= columns[0]) & (ix < columns[1])
-            got = [a[keep] for a in (which, iy, ix)] if not keep.all() else [which, iy, ix]
-            got = _tested(e, *got, ys, xs, convention)
-            if got[0].size:
-                yield known[some][got[0]], *got[1:]
-
-
-def _tested(e: Edges, which, iy, ix, ys: Axis, xs: Axis, convention: str):
-    y, x = ys.centres[iy], xs.centres[ix]
+            if not keep.all():
+                which, iy, ix, weight = which[keep], iy[keep], ix[keep], weight[keep]
+            if which.size:
+                yield known[some][which], iy, ix, weight
+
+
+def _cells(shapes: Shapes, some: np.ndarray, field: Field, ys: Axis, xs: Axis, convention: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the field of the cells that the shapes cover, and their weights."""
+    own, local = spread(shapes.start[some + 1] - shapes.start[some])
+    edges = shapes.start[some][own] + local
+    half = 0.0 if convention == "centroid" else ys.step / 2
+    lower, upper = np.minimum(shapes.y1[edges], shapes.y2[edges]), np.maximum(shapes.y1[edges], shapes.y2[edges])
+    first = np.maximum(np.searchsorted(ys.sorted, lower - half, "left"), field.y0[own])
+    last = np.minimum(np.searchsorted(ys.sorted, upper + half, "right"), field.y0[own] + field.ny[own])
+    part, row = spread(np.maximum(last - first, 0))
+    row += first[part]
+    own, edges = own[part], edges[part]
+    x1, y1, x2, y2 = shapes.x1[edges], shapes.y1[edges], shapes.x2[edges], shapes.y2[edges]
     if convention == "centroid":
-        keep = contains(e, which, x, y)
-        return which[keep], iy[keep], ix[keep], np.ones(int(keep.sum()))
+        inside = _centres(field, own, row, x1, y1, x2, y2, ys, xs)
+        found = np.flatnonzero(inside)
+        return found, np.ones(found.size)
+    return _areas(field, own, row, x1, y1, x2, y2, shapes.turn[edges], ys, xs, convention == "area_weighted")
+
+
+def _centres(field: Field, own, row, x1, y1, x2, y2, ys: Axis, xs: Axis) -> np.ndarray:
+    """Which centres are inside: those with an odd number of edges on their left; on the outline they aren't."""
+    y = ys.sorted[row]
+    crossing = (y1 > y) != (y2 > y)
+    o, r = own[crossing], row[crossing]
+    ax, ay, bx, by, at = x1[crossing], y1[crossing], x2[crossing], y2[crossing], y[crossing]
+    x = np.where(at == ay, ax, np.where(at == by, bx, ax + (at - ay) * ((bx - ax) / (by - ay))))
+    first = np.searchsorted(xs.sorted, x, "right")
+    low, high = field.x0[o], field.x0[o] + field.nx[o]
+    there = first < high
+    turns = np.bincount(field.at(o[there], r[there], np.maximum(first, low)[there]), minlength=field.size)
+    inside = (field.along_rows(turns) & 1).astype(bool)
+    # A centre on a crossing, or on an edge along its row, is on the outline.
+    on = (first > low) & (first <= high) & (xs.sorted[np.maximum(first - 1, 0)] == x)
+    inside[field.at(o[on], r[on], first[on] - 1)] = False
+    flat = np.flatnonzero((y1 == y) | (y2 == y))
+    if flat.size:
+        level = y1[flat] == y2[flat]
+        left = np.where(level, np.minimum(x1[flat], x2[flat]), np.where(y1[flat] == y[flat], x1[flat], x2[flat]))
+        right = np.where(level, np.maximum(x1[flat], x2[flat]), left)
+        a = np.maximum(np.searchsorted(xs.sorted, left, "left"), field.x0[own[flat]])
+        b = np.minimum(np.searchsorted(xs.sorted, right, "right"), field.x0[own[flat]] + field.nx[own[flat]])
+        part, column = spread(np.maximum(b - a, 0))
+        inside[field.at(own[flat][part], row[flat][part], column + a[part])] = False
+    return inside
+
+
+def _areas(field: Field, own, row, x1, y1, x2, y2, turn, ys: Axis, xs: Axis, weigh: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Cells that meet the shapes, and the common area.
+
+    Within a row of cells, the area left of an edge's part in it counts with
+    the sign of its direction.  Cells that the part runs through get their own
+    share; all cells on its left are full under it, which a running sum adds.
+    """
     hy, hx = ys.step / 2, xs.step / 2
-    if not hy or not hx:
-        return which[:0], iy[:0], ix[:0], np.empty(0)
-    keep = touches(e, which, x - hx, x + hx, y - hy, y + hy)
-    which, iy, ix, y, x = which[keep], iy[keep], ix[keep], y[keep], x[keep]
-    weight = overlap(e, which, x - hx, x + hx, y - hy, y + hy) if convention == "area_weighted" else np.ones(iy.size)
-    return which, iy, ix, weight
+    width = 2 * hx
+    bottom, top = np.maximum(np.minimum(y1, y2), ys.sorted[row] - hy), np.minimum(np.maximum(y1, y2), ys.sorted[row] + hy)
+    run = np.where(y1 == y2, 1.0, y2 - y1)
+
+    def x_at(y):
+        return np.where(y == y1, x1, np.where(y == y2, x2, x1 + (y - y1) * ((x2 - x1) / run)))
+
+    level = y1 == y2
+    xa, xb = np.where(level, x1, x_at(bottom)), np.where(level, x2, x_at(top))
+    rise = np.where(level, 0.0, np.maximum(top - bottom, 0)) * turn * np.sign(y2 - y1)
+    left, right = np.minimum(xa, xb), np.maximum(xa, xb)
+    low, high = field.x0[own], field.x0[own] + field.nx[own]
+    a, b = np.searchsorted(xs.sorted, left - hx, "left"), np.searchsorted(xs.sorted, right + hx, "right")
+    full = np.minimum(a, high) - 1
+    there = (full >= low) & (rise != 0)
+    filled = np.bincount(field.at(own[there], row[there], full[there]), rise[there] * width, field.size)
+    area = field.along_rows(filled, backwards=True)
+
+    part, column = spread(np.maximum(np.minimum(b, high) - np.maximum(a, low), 0))
+    column += np.maximum(a, low)[part]
+    at = field.at(own[part], row[part], column)
+    origin = xs.sorted[column] - hx
+    p, q = left[part] - origin, right[part] - origin
+    # The mean over the part of its distance from the cell's left side, held to the cell's width.
+    inner_p, inner_q = np.clip(p, 0, width), np.clip(q, 0, width)
+    grown = (inner_q**2 - inner_p**2) / 2 + (np.maximum(q - width, 0) - np.maximum(p - width, 0)) * width
+    steep = q - p < 1e-12 * width
+    mean = np.where(steep, (inner_p + inner_q) / 2, grown / np.where(steep, 1, q - p))
+    area += np.bincount(at, rise[part] * mean, field.size)
+    touched = area > 0.5 * width * 2 * hy
+    touched[at] = True
+    found = np.flatnonzero(touched)
+    return found, np.clip(area[found], 0, width * 2 * hy) if weigh else np.ones(found.size)
 
 
 def cover(geometry: Geometry, ys: Axis, xs: Axis, convention: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,9 +1,8 @@
-"""Planar geometry on NumPy arrays: parsing, measures, and tests against grid cells.
+"""Planar geometry on NumPy arrays: parsing and measures.
 
 A geometry is a list of polygons, a polygon a list of rings (the first is the
 outer one), a ring an (n, 2) array of x and y whose last point is its first.
-Tests take many cells at once, each with the geometry that it is tested against;
-parity takes care of holes and of several polygons.
+``Shapes`` has the edges of many geometries in flat arrays.
 """
 
 from __future__ import annotations
@@ -149,83 +148,76 @@ def centroid(geometry: Geometry) -> tuple[float, float] | None:
     return None if box is None else ((box[0] + box[2]) / 2, (box[1] + box[3]) / 2)
 
 
-class Edges:
-    """The edges of many geometries, as arrays of (geometry, edge).
-
-    Outer rings run clockwise and holes the other way.  Rows are filled up with
-    edges of no length, which no test notices.
-    """
-
-    def __init__(self, shapes: list[Geometry]):
-        rows = []
-        for shape in shapes:
-            rings = [r if (_signed(r) < 0) == (k == 0) else r[::-1] for p in shape for k, r in enumerate(p) if len(r) > 1]
-            rows.append(np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings]) if rings else np.empty((0, 4)))
-        self.counts = np.array([len(r) for r in rows], np.int64)
-        most = int(self.counts.max(initial=0))
-        self.all = np.zeros((4, most, len(rows)))
-        for k, r in enumerate(rows):
-            if len(r):
-                self.all[:, : len(r), k] = r.T
-                self.all[:, len(r) :, k] = np.tile(r[-1, 2:], 2)[:, None]
-
-    def each(self, which: np.ndarray):
-        """x1, y1, x2, y2 of one edge after the other, for the geometry of each cell."""
-        for k in range(self.all.shape[1]):
-            yield self.all[:, k][:, which]
-
-
-def contains(e: Edges, which: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether each point is inside its geometry; on the boundary it isn't."""
-    odd, on = np.zeros(x.size, bool), np.zeros(x.size, bool)
-    for x1, y1, x2, y2 in e.each(which):
-        side = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
-        odd ^= ((y1 > y) != (y2 > y)) & ((side > 0) == (y2 > y1))
-        line = side == 0
-        if line.any():
-            on |= line & (np.minimum(x1, x2) <= x) & (x <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= y) & (y <= np.maximum(y1, y2))
-    return odd & ~on
-
-
-def touches(e: Edges, which: np.ndarray, x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
-    """Whether each closed box meets its closed geometry, be it in one point."""
-    out = contains(e, which, (x0 + x1) / 2, (y0 + y1) / 2)
-    for ax, ay, bx, by in e.each(which):
-        # An edge misses a box if a side of the box, or the edge's own line, parts them.
-        near = (np.maximum(ax, bx) >= x0) & (np.minimum(ax, bx) <= x1) & (np.maximum(ay, by) >= y0) & (np.minimum(ay, by) <= y1) & ~out
-        k = np.flatnonzero(near)
-        if not k.size:
-            continue
-        ax, ay, dx, dy = ax[k], ay[k], (bx - ax)[k], (by - ay)[k]
-        lx, hx, ly, hy = x0[k], x1[k], y0[k], y1[k]
-        least = dx * (np.where(dx < 0, hy, ly) - ay) - dy * (np.where(dy > 0, hx, lx) - ax)
-        most = dx * (np.where(dx < 0, ly, hy) - ay) - dy * (np.where(dy > 0, lx, hx) - ax)
-        out[k] |= (least <= 0) & (most >= 0)
-    return out
+#: Little-endian, a polygon, one ring.
+SIMPLE = b"\1\3\0\0\0\1\0\0\0"
 
 
-def overlap(e: Edges, which: np.ndarray, x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
-    """Area of each box within its geometry.
+class Shapes:
+    """The edges of many geometries as flat arrays, those of a geometry together.
 
-    Along an edge, the height that a box sees of it is its y held to the box's
-    range; the signed integral of that over the box's width, summed over all
-    edges, is the area.
+    ``turn`` is 1 where an edge runs with the inside on its left: outer rings
+    anticlockwise and holes the other way; else -1.  ``box`` has x and y at
+    least and at most, NaN for a geometry without points.
     """
-    out = np.zeros(x0.size)
-    for ax, ay, bx, by in e.each(which):
-        left, right = np.maximum(np.minimum(ax, bx), x0), np.minimum(np.maximum(ax, bx), x1)
-        k = np.flatnonzero(right > left)
-        if not k.size:
+
+    def __init__(self, owner: np.ndarray, edges: np.ndarray, turn: np.ndarray, n: int):
+        order = np.argsort(owner, kind="stable")
+        self.owner, self.turn = owner[order], turn[order]
+        self.x1, self.y1, self.x2, self.y2 = np.ascontiguousarray(edges[order].T)
+        self.start = np.searchsorted(self.owner, np.arange(n + 1))
+        self.box = np.full((n, 4), np.nan)
+        some = np.flatnonzero(np.diff(self.start))
+        if some.size:
+            at = self.start[some]
+            for k, (values, f) in enumerate(((self.x1, np.minimum), (self.y1, np.minimum), (self.x1, np.maximum), (self.y1, np.maximum))):
+                # Rings are closed, so first points are all points.
+                self.box[some, k] = f.reduceat(values, at)
+
+    def __len__(self) -> int:
+        return len(self.box)
+
+    def known(self) -> np.ndarray:
+        return np.flatnonzero(~np.isnan(self.box[:, 0]))
+
+
+def shapes_of(geometries: list[Geometry]) -> Shapes:
+    owner, edges, turn = [np.empty(0, np.int64)], [np.empty((0, 4))], [np.empty(0)]
+    for i, geometry in enumerate(geometries):
+        for polygon in geometry:
+            for k, r in enumerate(polygon):
+                if len(r) < 2:
+                    continue
+                owner.append(np.full(len(r) - 1, i))
+                edges.append(np.hstack([r[:-1], r[1:]]))
+                turn.append(np.full(len(r) - 1, 1.0 if (_signed(r) > 0) == (k == 0) else -1.0))
+    return Shapes(np.concatenate(owner), np.concatenate(edges), np.concatenate(turn), len(geometries))
+
+
+def shapes_of_wkb(column: list[bytes | None]) -> Shapes:
+    """The same from WKB: polygons of one closed ring and equally many points are parsed together."""
+    sizes = np.array([len(w) if w is not None and w.startswith(SIMPLE) else -1 for w in column], np.int64)
+    owner, edges, turn, rest = [], [], [], np.flatnonzero(sizes < 0).tolist()
+    for size in np.unique(sizes[sizes >= 0]):
+        at = np.flatnonzero(sizes == size)
+        n = (int(size) - 13) // 16
+        raw = np.frombuffer(b"".join([column[k] for k in at]), np.uint8).reshape(at.size, -1) if size == 13 + 16 * n and n > 1 else None
+        if raw is None:
+            rest += at.tolist()
             continue
-        left, right, base, top = left[k], right[k], y0[k], (y1 - y0)[k]
-        ax, ay, run = ax[k], ay[k], (bx - ax)[k]
-        slope = (by[k] - ay) / run
-        p, q = ay + slope * (left - ax) - base, ay + slope * (right - ax) - base
-        # The integral of a height held to 0 .. top, up to p and to q.
-        inner_p, inner_q = np.clip(p, 0, top), np.clip(q, 0, top)
-        grown = (inner_q**2 - inner_p**2) / 2 + (np.maximum(q - top, 0) - np.maximum(p - top, 0)) * top
-        rise = q - p
-        flat = np.abs(rise) < 1e-12 * top
-        mean = np.where(flat, (inner_p + inner_q) / 2, grown / np.where(flat, 1, rise))
-        out[k] += np.sign(run) * (right - left) * mean
-    return np.maximum(out, 0)
+        points = np.ascontiguousarray(raw[:, 13:]).view("<f8").reshape(at.size, n, 2)
+        good = (np.ascontiguousarray(raw[:, 9:13]).view("<u4")[:, 0] == n) & (points[:, 0] == points[:, -1]).all(axis=1)
+        rest += at[~good].tolist()
+        points, at = points[good], at[good]
+        from_first = points - points[:, :1]
+        twice = (from_first[:, :-1, 0] * from_first[:, 1:, 1] - from_first[:, 1:, 0] * from_first[:, :-1, 1]).sum(axis=1)
+        owner.append(np.repeat(at, n - 1))
+        edges.append(np.concatenate([points[:, :-1], points[:, 1:]], axis=2).reshape(-1, 4))
+        turn.append(np.repeat(np.where(twice > 0, 1.0, -1.0), n - 1))
+    if rest:
+        others = shapes_of([from_wkb(column[k]) for k in rest])
+        owner.append(np.array(rest)[others.owner])
+        edges.append(np.stack([others.x1, others.y1, others.x2, others.y2], axis=1))
+        turn.append(others.turn)
+    if not owner:
+        return shapes_of([[]] * len(column))
+    return Shapes(np.concatenate(owner).astype(np.int64), np.concatenate(edges), np.concatenate(turn), len(column))

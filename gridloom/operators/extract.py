@@ -1,12 +1,13 @@
-"""Cells in footprints, by an equi-join on grid indices.
+"""Cells in footprints.
 
-The grid is regular, so a footprint's cells can be listed without looking at
-any: the cover is a table of (footprint, iy, ix), and the spatial join is an
-ordinary join on those two integers.
+The grid is known, so a footprint's cells can be listed without looking at any.
+Extraction does so at the chunks that footprints meet, and reads no others;
+``cover_cells`` gives the list as a table, for joins on two integers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,14 +16,19 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.cover import Axis, cover_many
-from ..functions.geometry import from_wkb
+from ..functions.geometry import shapes_of_wkb, to_wkb
+from ..plans.chunks import Box
 from ..plans.constraints import Constraints, parse_pins
-from ..sources.cells import read_geo
+from ..sources.arrays import ArrayInfo
+from ..sources.cells import BATCH_ROWS, arrow_values
 from ..sources.resolve import open_source
 from ..sources.vector import read_features
-from .grids import Grid, extent, grid_of
+from .columns import block_of, by_column, column_chunks, dealt, footprint_chunks, groups_of, windows
+from .grids import Grid, grid_of
 
 NETWORK_BYTES = 25_000_000
 
@@ -35,7 +41,7 @@ def cover_cells(features: DataFrame, grid: Grid, convention: str = "centroid", k
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shapes = [from_wkb(g) for g in batch.column(len(keys)).to_pylist()]
+            shapes = shapes_of_wkb(batch.column(len(keys)).to_pylist())
             for which, iy, ix, w in cover_many(shapes, grid.ys, grid.xs, convention):
                 at = pa.array(which)
                 yield pa.RecordBatch.from_arrays([*[batch.column(j).take(at) for j in range(len(keys))], pa.array(iy), pa.array(ix), pa.array(w)], [*keys, *schema.names[1:]])
@@ -69,30 +75,67 @@ def extract(
     """Every cell with each footprint that it is in: dimensions, value, properties.
 
     A cell in two footprints comes twice.  A property named like a dimension
-    or the value gets ``feature_`` in front.  Only chunks that meet the box
-    around all footprints are read.
+    or the value gets ``feature_`` in front.  Only chunks that meet a
+    footprint's own box are read.
     """
     if isinstance(features, str):
         features = read_features(spark, features)
-    box = extent(features)
-    bounds = {"lon": (box[0], box[2]), "lat": (box[1], box[3])} if box else {}
-    info = open_source(uri, bounds, asset)
+    info = open_source(uri, {}, asset)
     grid = grid_of(info)
-    half_y, half_x = (0.0, 0.0) if convention == "centroid" else (grid.ys.step / 2, grid.xs.step / 2)
-    window = {}
-    if box:
-        window = {f"{grid.x}_min": box[0] - half_x, f"{grid.x}_max": box[2] + half_x, f"{grid.y}_min": box[1] - half_y, f"{grid.y}_max": box[3] + half_y}
-    cells = read_geo(spark, uri, pins=pins, asset=asset, index_columns=True, **window)
     names = [c for c in features.columns if c != "geom"]
     taken = {*info.dims, "value", value}
-    renamed = {c: f"feature_{c}" if c in taken else c for c in names}
-    footprints = features.select(*[F.col(f"`{c}`").alias(renamed[c]) for c in names], "geom")
-    keys = tuple(renamed[c] for c in names)
-    covered = cover_cells(footprints, grid, convention, keys)
-    joined = cells.join(covered, (F.col(f"__i_{grid.y}") == F.col("__iy")) & (F.col(f"__i_{grid.x}") == F.col("__ix")))
-    if not box:
-        joined = joined.limit(0)
-    return joined.select(*info.dims, F.col("value").alias(value), *[F.col(f"`{k}`") for k in keys])
+    renamed = [f"feature_{c}" if c in taken else c for c in names]
+    boxes = info.boxes(Constraints({}, parse_pins(pins)))
+    groups = groups_of(spark, info, grid, boxes)
+    parts = [F.col("geom"), F.monotonically_increasing_id().alias("k1"), *[F.col(f"`{c}`").alias(f"__p{i}") for i, c in enumerate(names)]]
+    kept = features.select(*parts)
+    placed = dealt(footprint_chunks(kept, info, grid, convention), features, groups)
+    cells = info.schema()
+    schema = T.StructType([*cells.fields, *(T.StructField(f"__p{i}", kept.schema[f"__p{i}"].dataType) for i in range(len(names)))])
+    found = placed.mapInArrow(covered_cells(info, grid, convention, boxes, groups, schema), schema)
+    return found.toDF(*info.dims, value, *renamed)
+
+
+def covered_cells(info: ArrayInfo, grid: Grid, convention: str, boxes: list[Box], groups: int, schema: T.StructType):
+    """A function of Arrow batches: footprints at chunks to the cells that they cover there."""
+    dy, dx = info.dims.index(grid.y), info.dims.index(grid.x)
+    rest = [d for d in range(len(info.dims)) if d not in (dy, dx)]
+    arrow = to_arrow_schema(schema)
+    width = len(info.dims) + 1
+
+    def cells_of(b: Box, at: tuple[int, ...], which: pa.Array, iy: np.ndarray, ix: np.ndarray, own: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        inside = b.inside(at)
+        block = block_of(info, b, at)
+        values = None if block is None else np.moveaxis(block, (dy, dx), (-2, -1)).reshape(-1, inside[dy][1] - inside[dy][0], inside[dx][1] - inside[dx][0])
+        axes = {d: info.axis(d, *inside[d]) for d in range(len(info.dims))}
+        sizes = [inside[d][1] - inside[d][0] for d in rest]
+        y, x = iy - inside[dy][0], ix - inside[dx][0]
+        step = max(1, BATCH_ROWS // max(1, y.size))
+        for first in range(0, math.prod(sizes), step):
+            numbers = np.arange(first, min(first + step, math.prod(sizes)))
+            n = numbers.size
+            places = dict(zip(rest, np.unravel_index(numbers, sizes) if rest else (), strict=True))
+            columns = []
+            for d in range(len(info.dims)):
+                at_d = np.tile(axes[d][y if d == dy else x], n) if d in (dy, dx) else np.repeat(axes[d][places[d]], y.size)
+                columns.append(pa.array(at_d, arrow.field(d).type))
+            got = pa.nulls(n * y.size, arrow.field(width - 1).type) if values is None else arrow_values(info, values[numbers][:, y, x].ravel(), arrow.field(width - 1).type)
+            yield pa.RecordBatch.from_arrays([*columns, got, *(pa.chunked_array([c.take(which)] * n).combine_chunks() for c in own)], schema=arrow)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, chunks = None, []
+        for key, rows in by_column(batches):
+            if here != key:
+                here, chunks = key, list(column_chunks(boxes, dy, dx, *key, groups))
+            shapes = shapes_of_wkb(rows.column("geom").to_pylist())
+            own = [rows.column(f.name) for f in arrow if f.name in rows.schema.names and f.name not in info.dims and f.name != "value"]
+            for ys, xs in windows(chunks, dy, dx):
+                for which, iy, ix, _ in cover_many(shapes, grid.ys, grid.xs, convention, ys, xs):
+                    for b, at in chunks:
+                        if (b.inside(at)[dy], b.inside(at)[dx]) == (ys, xs):
+                            yield from cells_of(b, at, pa.array(which), iy, ix, own)
+
+    return part
 
 
 def _index(place: Column, axis: Axis) -> Column:
@@ -129,15 +172,11 @@ def join_by_index(points: DataFrame, cells: DataFrame, grid: Grid, y: str = "y",
 
 def box_candidates(features: DataFrame, grid: Grid, keys: tuple[str, ...] = ("fid",)) -> DataFrame:
     """Cells in the footprints' boxes: a candidate stage only, as it takes in too many."""
-    from ..functions.geometry import bounds as box_of
-    from ..functions.geometry import to_wkb
 
     @F.pandas_udf("binary")
-    def boxed(column):
-        def one(w):
-            b = box_of(from_wkb(w))
-            return to_wkb([[np.array([[b[0], b[1]], [b[2], b[1]], [b[2], b[3]], [b[0], b[3]], [b[0], b[1]]])]]) if b else None
-
-        return column.map(one)
+    def boxed(column: pd.Series) -> pd.Series:
+        boxes = shapes_of_wkb(column.tolist()).box
+        corners = boxes[:, [0, 1, 2, 1, 2, 3, 0, 3, 0, 1]].reshape(-1, 5, 2)
+        return pd.Series([None if np.isnan(c[0, 0]) else to_wkb([[c]]) for c in corners])
 
     return cover_cells(features.select(*keys, boxed(F.col("geom")).alias("geom")), grid, "all_touched", keys)

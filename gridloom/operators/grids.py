@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cover import Axis
-from ..functions.geometry import bounds, from_wkb
+from ..functions.geometry import shapes_of_wkb
 from ..plans.constraints import ALIASES
 from ..sources.arrays import ArrayInfo
 
@@ -49,28 +50,26 @@ def _step(info: ArrayInfo, d: int) -> float | None:
     return float(abs(raw[-1] - raw[0]) / (raw.size - 1)) if raw is not None and raw.size > 1 else None
 
 
-def extent(features: DataFrame, geom: str = "geom") -> Box | None:
-    """The box around all footprints: each is boxed where it is, one row comes back."""
+def _boxes(features: DataFrame, geom: str) -> DataFrame:
+    """xmin, ymin, xmax, ymax of each footprint, null where it has no points."""
 
-    @F.pandas_udf("array<double>")
-    def box(column):
-        return column.map(lambda w: list(b) if (b := bounds(from_wkb(w))) else None)
+    @F.pandas_udf("xmin double, ymin double, xmax double, ymax double")
+    def box(column: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(shapes_of_wkb(column.tolist()).box, columns=["xmin", "ymin", "xmax", "ymax"])
 
-    boxed = features.select(box(F.col(geom)).alias("b")).where("b IS NOT NULL")
-    row = boxed.agg(*[f(F.get("b", F.lit(k))).alias(str(k)) for k, f in enumerate((F.min, F.min, F.max, F.max))]).first()
-    return None if row is None or row["0"] is None else (row["0"], row["1"], row["2"], row["3"])
+    return features.select(box(F.col(geom)).alias("b")).select(*[F.nullif(F.col(f"b.{n}"), F.lit(float("nan"))).alias(n) for n in ("xmin", "ymin", "xmax", "ymax")])
 
 
-def extent_frame(features: DataFrame, geom: str = "geom") -> DataFrame:
-    """The same as a row of xmin, ymin, xmax, ymax."""
+def extent(features: DataFrame, geom: str = "geom") -> Box | None:
+    """The box around all footprints: each is boxed where it is, one row comes back."""
+    row = extent_frame(features, geom).first()
+    return None if row is None or row["xmin"] is None else tuple(row)
 
-    @F.pandas_udf("array<double>")
-    def box(column):
-        return column.map(lambda w: list(b) if (b := bounds(from_wkb(w))) else None)
 
+def extent_frame(features: DataFrame, geom: str = "geom") -> DataFrame:
+    """The same as a row of xmin, ymin, xmax, ymax."""
     parts = zip(("xmin", "ymin", "xmax", "ymax"), (F.min, F.min, F.max, F.max), strict=True)
-    boxed = features.select(box(F.col(geom)).alias("b"))
-    return boxed.agg(*[f(F.get("b", F.lit(k))).alias(n) for k, (n, f) in enumerate(parts)])
+    return _boxes(features, geom).agg(*[f(n).alias(n) for n, f in parts])
 
 
 def cell_step(cells: DataFrame, y: str = "lat", x: str = "lon") -> DataFrame:

@@ -1,9 +1,10 @@
 """Statistics of an array's cells per footprint.
 
-Footprints go to the chunks that their boxes meet, a chunk to one task (or
-several, where many footprints meet it).  The task reads the chunk once, takes
-each footprint's covered cells out of it and emits one partial aggregate per
-footprint; those are merged by footprint.  No cell becomes a row.
+Footprints go to the chunks that their boxes meet.  A task has the footprints at
+one column of chunks (those that differ in other dimensions than the spatial
+two), for a stretch of that column; it lists the footprints' cells once, takes
+them out of one chunk after the other, and emits partial aggregates, which are
+merged by footprint.  No cell becomes a row.
 """
 
 from __future__ import annotations
@@ -15,21 +16,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.cover import CONVENTIONS, cover_many, margins
-from ..functions.geometry import bounds, from_wkb
+from ..functions.cover import CONVENTIONS, cover_many
+from ..functions.geometry import shapes_of_wkb
+from ..plans.chunks import Box
 from ..plans.constraints import Constraints, parse_pins
 from ..sources.arrays import ArrayInfo
 from ..sources.resolve import open_source
 from ..sources.vector import read_features
+from .columns import block_of, by_column, column_chunks, dealt, footprint_chunks, groups_of, windows
 from .grids import Grid, grid_of
 
 METRICS = ("max", "min", "mean", "sum", "count")
-#: Footprints that one task takes from a chunk, about.
-PER_TASK = 4096
-
-PARTIAL = [("k1", pa.int64()), ("k2", pa.int64()), ("time", pa.float64()), ("n", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("total", pa.float64()), ("weight", pa.float64()), ("weighted", pa.float64())]
-PARTIAL_DDL = "k1 long, k2 long, time double, n long, low double, high double, total double, weight double, weighted double"
+#: Decoded values that a task keeps while it goes through its footprints; beyond it, chunks are read again.
+HELD_BYTES = 128 << 20
+#: As many properties travel with the partial aggregates; more are joined.
+FEW_PROPERTIES = 8
 
 
 def check(metric: str, convention: str) -> None:
@@ -49,126 +53,104 @@ def keyed(features: DataFrame, by_feature: bool) -> tuple[DataFrame, list[str]]:
     return features.withColumn("k1", F.xxhash64(F.lit(1), *parts)).withColumn("k2", F.xxhash64(F.lit(2), *parts)), names
 
 
-def footprint_chunks(features: DataFrame, info: ArrayInfo, grid: Grid, convention: str) -> DataFrame:
-    """k1, k2, geom and the (cy, cx) of each chunk that the footprint's box meets."""
-    dy, dx = info.dims.index(grid.y), info.dims.index(grid.x)
-    chunk_y, chunk_x = info.chunk[dy], info.chunk[dx]
-    my, mx = margins(convention, grid.ys, grid.xs)
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("geom", pa.binary()), ("cy", pa.int32()), ("cx", pa.int32())])
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            boxes = [bounds(from_wkb(g)) for g in batch.column(2).to_pylist()]
-            known = np.array([k for k, x in enumerate(boxes) if x is not None], np.int64)
-            if not known.size:
-                continue
-            edge = np.array([boxes[k] for k in known])
-            spans = []
-            for axis, low, high, margin, size in ((grid.ys, 1, 3, my, chunk_y), (grid.xs, 0, 2, mx, chunk_x)):
-                first, last = axis.span(edge[:, low], edge[:, high], margin)
-                some = last > first
-                ends = np.stack([axis.order[np.minimum(first, axis.order.size - 1)], axis.order[np.maximum(last - 1, 0)]]) // size
-                spans.append((some, ends.min(axis=0), ends.max(axis=0)))
-            (sy, y0, y1), (sx, x0, x1) = spans
-            ny, nx = y1 - y0 + 1, x1 - x0 + 1
-            total = np.where(sy & sx, ny * nx, 0)
-            which = np.repeat(np.arange(known.size), total)
-            local = np.arange(which.size) - np.repeat(np.cumsum(total) - total, total)
-            at = pa.array(known[which])
-            rows = [batch.column(i).take(at) for i in range(3)] + [y0[which] + local // nx[which], x0[which] + local % nx[which]]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
-
-    return features.select("k1", "k2", "geom").mapInArrow(part, "k1 long, k2 long, geom binary, cy int, cx int")
-
-
-def partial_stats(placed: DataFrame, info: ArrayInfo, grid: Grid, convention: str, constraints: Constraints, by_time: bool) -> DataFrame:
+def partial_stats(placed: DataFrame, info: ArrayInfo, grid: Grid, convention: str, metric: str, boxes: list[Box], groups: int, by_time: bool, carried: list[str]) -> DataFrame:
+    """k1, k2, (time,) v, n and the carried columns of each footprint at each chunk with cells; what v and n are depends on the metric."""
     dy, dx = info.dims.index(grid.y), info.dims.index(grid.x)
     rest = [d for d in range(len(info.dims)) if d not in (dy, dx)]
-    boxes = info.boxes(constraints)
     time = info.dims.index("time") if by_time and "time" in info.dims else None
-    schema = pa.schema(PARTIAL)
-
-    def slabs(cy: int, cx: int):
-        """What is to be read at a chunk column: (values with y and x last, their times, first row and column)."""
-        for b in boxes:
-            grid_box = b.grid
-            if not (grid_box[dy][0] <= cy <= grid_box[dy][1] and grid_box[dx][0] <= cx <= grid_box[dx][1]):
-                continue
-            for k in np.ndindex(*[grid_box[d][1] - grid_box[d][0] + 1 for d in rest]):
-                at = [0] * len(info.dims)
-                at[dy], at[dx] = cy, cx
-                for d, i in zip(rest, k, strict=True):
-                    at[d] = grid_box[d][0] + i
-                inside = b.inside(tuple(at))
-                part = tuple(slice(lo - g * c, hi - g * c) for (lo, hi), g, c in zip(inside, at, info.chunk, strict=True))
-                block = info.reader.read(tuple(at), part)
-                if block is None:
-                    if info.fill is not None:
-                        continue
-                    block = np.full([hi - lo for lo, hi in inside], getattr(info.reader, "fill", 0), info.dtype)
-                missing = info.missing(np.ascontiguousarray(block))
-                values = block.astype(np.float64)
-                if missing is not None:
-                    values[missing.reshape(values.shape)] = np.nan
-                values = np.moveaxis(values, (dy, dx), (-2, -1))
-                if time is None:
-                    groups = [(None, values.reshape(-1, *values.shape[-2:]))]
-                else:
-                    lead = np.moveaxis(values, rest.index(time), 0)
-                    times = info.axis(time, *inside[time])
-                    groups = [(float(t), lead[i].reshape(-1, *values.shape[-2:])) for i, t in enumerate(times)]
-                yield groups, inside[dy], inside[dx]
-
-    def chunk_rows(held, k1: np.ndarray, k2: np.ndarray, shapes: list) -> Iterator[pa.RecordBatch]:
-        """Partial aggregates of the footprints at one chunk."""
-        for groups, ys, xs in held:
-            for which, iy, ix, w in cover_many(shapes, grid.ys, grid.xs, convention, ys, xs):
+    kinds = [T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())]
+    if by_time:
+        kinds.append(T.StructField("time", T.DoubleType()))
+    kinds += [T.StructField("v", T.DoubleType()), T.StructField("n", T.DoubleType()), *(placed.schema[c] for c in carried)]
+    schema = T.StructType(kinds)
+    arrow = to_arrow_schema(schema)
+
+    def slab(b: Box, at: tuple[int, ...]):
+        """A chunk's part in the box: (time, values with a row per step and a column per cell), rows, columns; None if it is all missing."""
+        inside = b.inside(at)
+        block = block_of(info, b, at)
+        if block is None:
+            return None
+        missing = info.missing(np.ascontiguousarray(block))
+        values = block.astype(np.float64 if block.dtype.kind != "f" else block.dtype)
+        if missing is not None and missing.any():
+            values[missing.reshape(values.shape)] = np.nan
+        values = np.moveaxis(values, (dy, dx), (-2, -1))
+        if time is None:
+            steps = [(None, np.ascontiguousarray(values).reshape(-1, math.prod(values.shape[-2:])))]
+        else:
+            lead = np.moveaxis(values, rest.index(time), 0)
+            steps = [(float(t), np.ascontiguousarray(lead[i]).reshape(-1, math.prod(values.shape[-2:]))) for i, t in enumerate(info.axis(time, *inside[time]))]
+        return steps, inside[dy], inside[dx]
+
+    def reduced(values: np.ndarray, flat: np.ndarray, starts: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """v, n and the number of cells with a value, for each footprint."""
+        got = np.take(values, flat, axis=1).astype(np.float64)
+        there = ~np.isnan(got)
+        steps = got.shape[0]
+        whole = there.all()
+        n = np.full(flat.size, float(steps)) if whole else there.sum(axis=0).astype(float)
+        counts = np.add.reduceat(n, starts)
+        if metric in ("max", "min"):
+            f, empty = (np.maximum, -np.inf) if metric == "max" else (np.minimum, np.inf)
+            return f.reduceat(f.reduce(got if whole else np.where(there, got, empty), axis=0), starts), counts, counts
+        if metric == "count":
+            return counts, counts, counts
+        total = (got if whole else np.where(there, got, 0)).sum(axis=0)
+        if convention == "area_weighted":
+            return np.add.reduceat(total * weight, starts), np.add.reduceat(n * weight, starts), counts
+        return np.add.reduceat(total, starts), counts, counts
+
+    class Column:
+        """The chunks of one task's column: held if they are small, else read whenever they are asked for."""
+
+        def __init__(self, key: tuple[int, int, int]):
+            self.chunks = list(column_chunks(boxes, dy, dx, *key, groups))
+            each = math.prod(info.chunk) * 8
+            self.held = [slab(*c) for c in self.chunks] if each * len(self.chunks) <= HELD_BYTES else None
+
+        def slabs(self):
+            found = self.held if self.held is not None else (slab(*c) for c in self.chunks)
+            return (s for s in found if s is not None)
+
+    def footprints(column: Column, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Partial aggregates of some footprints at one column."""
+        shapes = shapes_of_wkb(batch.column("geom").to_pylist())
+        for ys, xs in windows(column.chunks, dy, dx):
+            for which, iy, ix, weight in cover_many(shapes, grid.ys, grid.xs, convention, ys, xs):
                 # Cells of a footprint stand together.
                 starts = np.flatnonzero(np.diff(which, prepend=-1))
                 ids = which[starts]
-                for t, values in groups:
-                    got = values[:, iy - ys[0], ix - xs[0]]
-                    there = ~np.isnan(got)
-                    n = there.sum(axis=0)
-                    total = np.where(there, got, 0).sum(axis=0)
-                    counts = np.add.reduceat(n, starts)
-                    columns = [
-                        k1[ids], k2[ids], np.full(ids.size, np.nan if t is None else t), counts,
-                        np.minimum.reduceat(np.where(there, got, np.inf).min(axis=0), starts), np.maximum.reduceat(np.where(there, got, -np.inf).max(axis=0), starts),
-                        np.add.reduceat(total, starts), np.add.reduceat(n * w, starts), np.add.reduceat(total * w, starts),
-                    ]
-                    some = counts > 0
-                    if some.any():
-                        yield pa.RecordBatch.from_arrays([pa.array(c[some], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                flat = (iy - ys[0]) * (xs[1] - xs[0]) + ix - xs[0]
+                for steps, rows, columns in column.slabs():
+                    if (rows, columns) != (ys, xs):
+                        continue
+                    for t, values in steps:
+                        v, n, counts = reduced(values, flat, starts, weight)
+                        some = counts > 0
+                        if not some.any():
+                            continue
+                        at = pa.array(ids[some])
+                        own = [batch.column("k1").take(at), batch.column("k2").take(at)]
+                        own += [pa.array(np.full(len(at), np.nan if t is None else t))] if by_time else []
+                        yield pa.RecordBatch.from_arrays([*own, pa.array(v[some]), pa.array(n[some]), *(batch.column(c).take(at) for c in carried)], schema=arrow)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, held = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            k1, k2, cy, cx = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
-            geoms = batch.column(2).to_pylist()
-            cuts = np.flatnonzero((np.diff(cy, prepend=-1) != 0) | (np.diff(cx, prepend=-1) != 0))
-            for a, b in zip(cuts, [*cuts[1:], len(cy)], strict=True):
-                if here != (cy[a], cx[a]):
-                    here = (int(cy[a]), int(cx[a]))
-                    held = list(slabs(*here))
-                yield from chunk_rows(held, k1[a:b], k2[a:b], [from_wkb(g) for g in geoms[a:b]])
-
-    return placed.select("k1", "k2", "geom", "cy", "cx").mapInArrow(part, PARTIAL_DDL)
+        here, column = None, None
+        for key, rows in by_column(batches):
+            if here != key:
+                here, column = key, Column(key)
+            yield from footprints(column, rows)
+
+    return placed.mapInArrow(part, schema)
 
 
 def metric_column(metric: str, convention: str):
-    if convention == "area_weighted":
-        total = F.sum("weighted")
-        return total / F.nullif(F.sum("weight"), F.lit(0.0)) if metric == "mean" else total
-    return {
-        "max": F.max("high"),
-        "min": F.min("low"),
-        "sum": F.sum("total"),
-        "count": F.sum("n"),
-        "mean": F.sum("total") / F.sum("n"),
-    }[metric]
+    if metric == "mean":
+        return F.sum("v") / (F.nullif(F.sum("n"), F.lit(0.0)) if convention == "area_weighted" else F.sum("n"))
+    if metric == "count":
+        return F.sum("n").cast("long")
+    return {"max": F.max, "min": F.min, "sum": F.sum}[metric]("v")
 
 
 def zonal_stats(
@@ -182,7 +164,6 @@ def zonal_stats(
     asset: str | None = None,
     pins: str | None = None,
     bounds: dict | None = None,
-    per_task: int = PER_TASK,
 ) -> DataFrame:
     """One row per footprint with cells: its properties, (time,) metric.
 
@@ -195,17 +176,17 @@ def zonal_stats(
     info = open_source(uri, bounds, asset)
     grid = grid_of(info)
     features, names = keyed(features, by_feature)
-    placed = footprint_chunks(features, info, grid, convention)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # A chunk under many footprints is dealt out; the same footprints always go to the same part.
-    dy, dx = info.dims.index(grid.y), info.dims.index(grid.x)
-    chunks = math.ceil(info.shape[dy] / info.chunk[dy]) * math.ceil(info.shape[dx] / info.chunk[dx])
-    parts = max(1, min(64, n // chunks if chunks < n else 1)) if chunks < n else 8
-    salt = F.pmod(F.col("k1"), F.lit(parts))
-    placed = placed.repartition(n, "cy", "cx", salt).sortWithinPartitions("cy", "cx")
-    partial = partial_stats(placed, info, grid, convention, Constraints(bounds or {}, parse_pins(pins)), by_time)
+    boxes = info.boxes(Constraints(bounds or {}, parse_pins(pins)))
+    groups = groups_of(spark, info, grid, boxes)
+    few = len(names) <= FEW_PROPERTIES
+    own = F.struct(*[F.col(f"`{c}`").alias(f"p{i}") for i, c in enumerate(names)]) if names else F.lit(None).cast("string")
+    kept = features.select("k1", "k2", "geom", *([own.alias("own")] if few else []))
+    placed = dealt(footprint_chunks(kept, info, grid, convention), features, groups)
+    partial = partial_stats(placed, info, grid, convention, metric, boxes, groups, by_time, ["own"] if few else [])
     keys = ["k1", "k2", *(["time"] if by_time else [])]
-    merged = partial.groupBy(*keys).agg(metric_column(metric, convention).alias("metric"))
+    merged = partial.groupBy(*keys).agg(metric_column(metric, convention).alias("metric"), *([F.first("own").alias("own")] if few else []))
+    last = [*(["time"] if by_time else []), "metric"]
+    if few:
+        return merged.select(*[F.col(f"own.p{i}").alias(c) for i, c in enumerate(names)], *last)
     properties = features.select("k1", "k2", *[F.col(f"`{c}`") for c in names]).dropDuplicates(["k1", "k2"])
-    out = merged.join(properties, ["k1", "k2"])
-    return out.select(*[F.col(f"`{c}`") for c in names], *(["time"] if by_time else []), "metric")
+    return merged.join(properties, ["k1", "k2"]).select(*[F.col(f"`{c}`") for c in names], *last)

@@ -204,13 +204,17 @@ class CellReader(DataSourceReader):
     def _values(self, block: np.ndarray | None, shape: tuple[int, ...], a: int, kind: pa.DataType) -> pa.Array:
         if block is None:
             return pa.nulls(math.prod(shape), kind)
-        values = np.ascontiguousarray(block[a : a + shape[0]] if shape else block).ravel()
-        mask = self.info.missing(values)
-        if self.info.dtype == "uint64":
-            return pa.array(values, pa.uint64(), mask=mask).cast(pa.decimal128(20, 0)).cast(kind)
-        if self.info.dtype == "string":
-            return pa.array(values.tolist(), kind, mask=mask)
-        return pa.array(values, mask=mask).cast(kind)
+        return arrow_values(self.info, np.ascontiguousarray(block[a : a + shape[0]] if shape else block).ravel(), kind)
+
+
+def arrow_values(info: ArrayInfo, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Values of an array as a column, the missing ones null."""
+    mask = info.missing(values)
+    if info.dtype == "uint64":
+        return pa.array(values, pa.uint64(), mask=mask).cast(pa.decimal128(20, 0)).cast(kind)
+    if info.dtype == "string":
+        return pa.array(values.tolist(), kind, mask=mask)
+    return pa.array(values, mask=mask).cast(kind)
 
 
 def read_geo(

@@ -1,12 +1,13 @@
 import math
 
 import numpy as np
+import plain_geometry
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridloom.functions.cover import Axis, cover, cover_many
-from gridloom.functions.geometry import area, bounds, centroid, from_geojson, from_wkb, from_wkt, point_of, point_wkb, to_wkb
+from gridloom.functions.geometry import area, bounds, centroid, from_geojson, from_wkb, from_wkt, point_of, point_wkb, shapes_of, shapes_of_wkb, to_wkb
 
 HOLED = "POLYGON((0 0,10 0,10 10,0 10,0 0),(2 2,4 2,4 4,2 4,2 2))"
 MANY = "MULTIPOLYGON(((0 0,1 0,1 1,0 1,0 0)),((2 2,3 2,3 3,2 3,2 2),(2.2 2.2,2.4 2.2,2.4 2.4,2.2 2.4,2.2 2.2)))"
@@ -33,6 +34,47 @@ def test_overlaps_add_up(shape, flip_y, flip_x):
     assert inside <= touched and set(zip(iy, ix, strict=True)) == touched
 
 
+def plain_cover(shape, ys, xs, convention):
+    """Each cell of the grid against each edge."""
+    e = plain_geometry.Edges([shape])
+    iy, ix = (a.ravel() for a in np.meshgrid(np.arange(ys.centres.size), np.arange(xs.centres.size), indexing="ij"))
+    y, x, which = ys.centres[iy], xs.centres[ix], np.zeros(iy.size, np.int64)
+    if convention == "centroid":
+        keep, w = plain_geometry.contains(e, which, x, y), np.ones(iy.size)
+    else:
+        box = (x - xs.step / 2, x + xs.step / 2, y - ys.step / 2, y + ys.step / 2)
+        keep = plain_geometry.touches(e, which, *box)
+        w = plain_geometry.overlap(e, which, *box) if convention == "area_weighted" else np.ones(iy.size)
+    return {(int(a), int(b)): round(float(c), 9) + 0.0 for a, b, c in zip(iy[keep], ix[keep], w[keep], strict=True)}
+
+
+def quantized(shape, to):
+    return [[np.round(r * to) / to for r in p] for p in shape]
+
+
+@settings(max_examples=120, deadline=None)
+@given(stars(), st.sampled_from([None, 1, 2, 4]), st.sampled_from([1, 2]), st.booleans())
+def test_cover_is_every_cell_against_every_edge(shape, to, parts, hole):
+    shape = quantized(shape, to) if to else shape
+    shape = shape * parts if parts == 1 else shape + [[shape[0][0] + 20]]
+    if hole:
+        shape = [[shape[0][0], 10 + (shape[0][0][::-1] - 10) * 0.5], *shape[1:]]
+    ys, xs = Axis(np.arange(39.5, 0, -1)), Axis(np.arange(0.5, 40))
+    for convention in ("centroid", "all_touched", "area_weighted"):
+        iy, ix, w = cover(shape, ys, xs, convention)
+        got = {(int(a), int(b)): round(float(c), 9) + 0.0 for a, b, c in zip(iy, ix, w, strict=True)}
+        assert got == pytest.approx(plain_cover(shape, ys, xs, convention), abs=2e-9)
+
+
+def test_wkb_in_one_go():
+    shapes = [from_wkt(HOLED), [], from_wkt(MANY), *[from_wkt(f"POLYGON(({k} 0,{k + 1} 0,{k + 1} 1,{k} 0))") for k in range(5)], from_wkt("POLYGON((0 0,0 1,1 1,0 0))")]
+    wkb = [to_wkb(s) if s else None for s in shapes]
+    one, many = shapes_of_wkb(wkb), shapes_of(shapes)
+    assert len(one) == len(many) == 9 and np.array_equal(one.box, many.box, equal_nan=True) and (one.start == many.start).all()
+    for name in ("x1", "y1", "x2", "y2", "turn"):
+        assert (getattr(one, name) == getattr(many, name)).all()
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(stars(), min_size=1, max_size=6))
 def test_many_at_once_are_the_same(shapes):
