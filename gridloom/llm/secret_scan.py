@@ -5,7 +5,8 @@ their character classes is folded by merging statistically compatible states
 into a probabilistic automaton.  Every other candidate (a long run of the
 letters that labelled credentials have, or a part of it between dots and equals
 signs) is scored under each automaton; it is a secret if its likelihood per
-symbol reaches what held-out credentials of that kind have.
+symbol reaches what held-out credentials of that kind have.  The labelled ones
+are scored as well, so a finding says how far it looks like others of its kind.
 """
 
 from __future__ import annotations
@@ -34,8 +35,6 @@ PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 LEAST = 12
 #: A part of a run has so many pieces at most; the whole run is scored however many it has.
 PIECES = 16
-#: Longer labelled credentials aren't used for learning.
-LONGEST = 256
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -230,17 +229,28 @@ def formatted(word: str, models: list[tuple[Automaton, float]]) -> list[tuple[in
     return sorted(kept)
 
 
-def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 1000) -> DataFrame:
+def best_score(word: str, models: list[tuple[Automaton, float]]) -> float | None:
+    """By how much a credential passes the format that suits it best, below 0 if it passes none; None if no format can make it."""
+    scores = [automaton.score(word) - least for automaton, least in models]
+    best = max(scores, default=-math.inf)
+    return best if best > -math.inf else None
+
+
+def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 1000, longest: int = 1024) -> DataFrame:
     """Secrets of each whole text.
 
     Returns doc_id, n_assign, n_access, n_hex, base_spans and extra_spans
-    (strings of kind:start:end in code points, end exclusive), and
-    extra_scores.  The automata learn from about ``bound`` different base
-    findings per kind at most, chosen by a hash; every candidate is scored.
-
-    A null text is empty; a null id stays null; repeated rows each give a row;
-    with too few base findings nothing is added; an empty table gives an empty
-    result.
+    (strings of kind:start:end in code points, end exclusive), and for each of
+    both the excess of its likelihood over the least of the format that suits
+    it best: base_scores (null where no format can make it) and extra_scores.
+    The automata learn from about ``bound`` different base findings per kind at
+    most, chosen by a hash, of at most ``longest`` letters; all base findings
+    and every other candidate are scored, however long they are.
+
+    A null text is empty; a very long one is scanned whole; a null id stays
+    null; repeated rows each give a row; extra columns are left out, whatever
+    their names; with too few base findings nothing is added; an empty table
+    gives an empty result.
     """
     docs = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64()), ("word", pa.string())]))
@@ -258,7 +268,7 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     rows = settle(docs.mapInArrow(scan, f"doc_id long, base {ddl}, more {ddl}"))
 
-    words = rows.select(F.explode("base").alias("f")).select("f.kind", "f.word").where(F.length("word") <= LONGEST).distinct()
+    words = rows.select(F.explode("base").alias("f")).select("f.kind", "f.word").where(F.length("word") <= longest).distinct()
     words = settle(words)
     # Three kinds, so three counts.
     counts = {r["kind"]: r["count"] for r in words.groupBy("kind").count().collect()}
@@ -272,14 +282,14 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     formats = learn(credentials)
     shared = df.sparkSession.sparkContext.broadcast(formats)
 
-    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_spans", "extra_spans", "extra_scores"]
-    kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.float64())]
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_spans", "extra_spans", "base_scores", "extra_scores"]
+    kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.float64())] * 2
     out = pa.schema(list(zip(names, kinds, strict=True)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = list(shared.value.values())
         for batch in batches:
-            got: list[list] = [[] for _ in range(6)]
+            got: list[list] = [[] for _ in range(7)]
             for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 kept, scores = [], []
                 for c in more:
@@ -288,15 +298,20 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         scores.append(excess)
                 n = [sum(b["kind"] == k for b in base) for k in range(3)]
                 spans = ",".join(f"{KINDS[b['kind']]}:{b['start']}:{b['stop']}" for b in base)
-                for column, value in zip(got, [*n, spans, ",".join(kept), scores], strict=True):
+                likely = [best_score(b["word"], models) for b in base]
+                for column, value in zip(got, [*n, spans, ",".join(kept), likely, scores], strict=True):
                     column.append(value)
             yield table(out, [batch.column(0), *got])
 
-    return rows.mapInArrow(score, ", ".join(f"{c} long" for c in names[:4]) + ", base_spans string, extra_spans string, extra_scores array<double>")
+    return rows.mapInArrow(score, ", ".join(f"{c} long" for c in names[:4]) + ", base_spans string, extra_spans string, base_scores array<double>, extra_scores array<double>")
 
 
 def secret_digests(df: DataFrame, **columns: str) -> DataFrame:
-    """``find_secrets`` as doc_id, counts, base_sha256, and spans: all spans by start, then kind."""
+    """``find_secrets`` as doc_id, counts, base_sha256, spans (all, by start, then kind), and what the formats say.
+
+    n_likely counts the base findings that pass a format, base_scores and
+    format_scores have the excess of each base and each added span.
+    """
     found = find_secrets(df, **columns)
     order = F.array(*[F.lit(k) for k in [*KINDS, "format"]])
     parts = F.split(F.concat_ws(",", F.nullif("base_spans", F.lit("")), F.nullif("extra_spans", F.lit(""))), ",")
@@ -309,4 +324,7 @@ def secret_digests(df: DataFrame, **columns: str) -> DataFrame:
         ),
     )
     spans = F.array_join(F.transform(F.array_sort(keyed), lambda s: s["span"]), ",")
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), spans.alias("spans"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), spans.alias("spans"),
+        F.size(F.filter("base_scores", lambda x: x >= 0)).cast("long").alias("n_likely"), "base_scores", F.col("extra_scores").alias("format_scores"),
+    )
