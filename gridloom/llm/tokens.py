@@ -10,8 +10,7 @@ texts as single runs.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping
-from itertools import filterfalse
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,8 @@ COMMON, COMMON_BYTES = 300_000, 16 << 20
 ENTRY = 32
 #: Longer pre-tokens are never cached.
 LONG = 64
-#: Pre-tokens in each of the cache's two generations: with 64 bytes each and as much for their ids, about 40 MB.
-CACHED = 150_000
+#: Pre-tokens in each of the cache's two generations: about 50 MB each.
+CACHED = 300_000
 ENDS = (b".", b",")
 
 
@@ -49,15 +48,21 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Over(dict):
-    """A few entries over a large table that isn't copied."""
+class Young(dict):
+    """The cache's younger generation: takes over from the older one, and notes what neither has."""
 
-    def __init__(self, under: Mapping):
+    def __init__(self, old: dict[bytes, bytes]):
         super().__init__()
-        self.under = under
+        self.old = old
+        self.fresh: list[bytes] = []
 
-    def __missing__(self, key):
-        return self.under[key]
+    def __missing__(self, word: bytes) -> bytes | None:
+        ids = self.old.get(word)
+        if ids is None:
+            self.fresh.append(word)
+        else:
+            self[word] = ids
+        return ids
 
 
 class Known(dict):
@@ -82,8 +87,8 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.capacity = capacity
-        self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.young = Young(self.old)
         one = lambda t: self.library.encode(t, add_special_tokens=False).ids
         probes = ["a b", "a\x0bb", "a \n\tb.", "1  2\r3", "x , .y", "it 's\x0ct"]
         self.by_word = all(one(p) == [i for w in p.encode().split() for i in one(w.decode())] for p in probes)
@@ -123,36 +128,46 @@ class Encoder:
             out += [all_ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def known(self, words: Iterable[bytes]) -> Mapping[bytes, bytes]:
-        """Packed ids, by ``[]``, of at least these words; the cache is bounded, in two generations."""
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word.  A word is looked up once; the cache is bounded, in two generations."""
         if len(self.young) > self.capacity:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        new: set[bytes] = set()
+            self.old, self.young.old = self.young, {}
+            self.young = Young(self.old)
+        young = self.young
+        young.fresh = []
+        got = list(map(young.__getitem__, words))
+        if not young.fresh:
+            return got
+        new, missing = self._new(set(young.fresh)), iter(young.fresh)
+        return [ids if ids is not None else new[next(missing)] for ids in got]
+
+    def _new(self, fresh: set[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of words that aren't in the cache, where all but the longest go."""
+        out: dict[bytes, bytes] = {}
         ended: list[bytes] = []
-        # Set operations with a view of the keys would go through all of the cache.
-        for w in set(filterfalse(young.__contains__, words)):
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            elif self.by_word and w[-1:] in ENDS and letter_before_end(w):
+        todo: set[bytes] = set()
+        for w in fresh:
+            if self.by_word and w[-1:] in ENDS and letter_before_end(w):
                 ended.append(w)
-                new.add(w[:-1])
+                ids = self.young.get(w[:-1], self.old.get(w[:-1]))
+                if ids is None:
+                    todo.add(w[:-1])
+                else:
+                    out[w[:-1]] = ids
             else:
-                new.add(w)
-        extra = Over(young)
-        fresh = []
-        for w in filterfalse(young.__contains__, new):
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            else:
-                fresh.append(w)
-        for w, ids in zip(fresh, self.ids(fresh), strict=True):
-            (young if len(w) <= LONG else extra)[w] = ids.tobytes()
+                todo.add(w)
+        words = list(todo)
+        out.update((w, ids.tobytes()) for w, ids in zip(words, self.ids(words), strict=True))
         # A full stop or comma after a letter is a pre-token of the vocabulary's own.
         for w in ended:
-            ids = extra[w[:-1]]
-            (young if len(w) <= LONG else extra)[w] = ids + self.ends[w[-1:]]
-        return extra if extra else young
+            out[w] = out[w[:-1]] + self.ends[w[-1:]]
+        self.young.update((w, ids) for w, ids in out.items() if len(w) <= LONG)
+        return out
+
+    def known(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Packed ids by word."""
+        words = list(words)
+        return dict(zip(words, self.packed(words), strict=True))
 
 
 def count_words(docs: DataFrame, path: str) -> DataFrame:
