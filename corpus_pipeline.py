@@ -51,8 +51,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Packing and the models aren't SQL. The tests hold line dedup and near dedup against brute-force versions; the
-#: pipeline as a whole is only compared with its own stages, called one by one.
+#: Packing and the models aren't SQL: tests/llm/test_llm_stages.py holds the whole pipeline against a plain version.
 ORACLE_SQL = None
 
 
