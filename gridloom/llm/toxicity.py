@@ -31,9 +31,9 @@ BLOCK, MANY = 1 << 17, 1 << 21
 #: Bytes of texts that are looked at together.
 SLICE = 1 << 18
 #: The fit ends at a gradient of this norm, or with a warning after so many steps.
-GRADIENT, MOST_STEPS = 1e-5, 100
+GRADIENT, MOST_STEPS = 2e-5, 100
 #: Labelled texts of a class that the fit, with a matrix of all pairs of them, may be given; features multiplied at a time.
-MOST_BOUND, COLUMNS = 4000, 2048
+MOST_BOUND, COLUMNS = 4000, 512
 
 
 def grams(joined: np.ndarray, n: int) -> np.ndarray:
@@ -126,18 +126,37 @@ class Counts:
 
 
 def gram_matrix(rows: list[np.ndarray], scale: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Products of all pairs of scaled rows, summed over columns a block at a time."""
-    out = np.zeros((len(rows), len(rows)))
+    """Products of all pairs of scaled rows, summed over columns a block at a time; 4 bytes for each pair of texts."""
+    out = np.zeros((len(rows), len(rows)), np.float32)
     columns = [np.searchsorted(chosen, r) for r in rows]
     for a in range(0, chosen.size, COLUMNS):
         block = np.zeros((len(rows), min(COLUMNS, chosen.size - a)), np.float32)
         for i, c in enumerate(columns):
             block[i, c[np.searchsorted(c, a) : np.searchsorted(c, a + COLUMNS)] - a] = 1
-        block *= scale[a : a + COLUMNS]
-        out += block @ block.T
+        block *= scale[a : a + COLUMNS].astype(np.float32)
+        # Some texts' products at a time, so that nothing else is as large as the result.
+        for i in range(0, len(rows), COLUMNS):
+            out[i : i + COLUMNS] += block[i : i + COLUMNS] @ block.T
     return out
 
 
+def solved(apply, right: np.ndarray, most: int = 1000) -> np.ndarray:
+    """The solution of a positive definite system, by conjugate gradients."""
+    x, r = np.zeros_like(right), right.copy()
+    d, rr = r.copy(), float(r @ r)
+    least = 1e-16 * rr
+    for _ in range(most):
+        if rr <= least:
+            break
+        ad = apply(d)
+        step = rr / float(d @ ad)
+        x += step * d
+        r -= step * ad
+        rr, before = float(r @ r), rr
+        d = r + rr / before * d
+    return x
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.ndarray, prior: float, alpha: float = 1.0, decay: float = 1e-3) -> Model:
     """Fit to the chosen slots of each text; ``prior`` is the toxic share among all labelled texts.
 
@@ -150,26 +169,28 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, counts: Counts, chosen: np.nd
         return Model(chosen, np.empty(0), float(np.log(prior / (1 - prior))))
     ratio = counts.ratio(alpha)[chosen]
     y, n = toxic.astype(float), len(rows)
-    products = gram_matrix(rows, ratio, chosen)
+    matrix = gram_matrix(rows, ratio, chosen)
+    products = lambda v: (matrix @ v.astype(np.float32)).astype(float)
     factors, b = np.zeros(n), 0.0
 
     def loss(factors: np.ndarray, b: float) -> tuple[float, np.ndarray]:
-        said = products @ factors
+        said = products(factors)
         return float(np.logaddexp(0, said + b).mean() - (y * (said + b)).mean() + decay / 2 * factors @ said), said + b
 
     now, margin = loss(factors, b)
     for _ in range(MOST_STEPS):
         p = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
-        # In terms of the factors the gradient is products @ g, and the bias's is the mean of p - y.
+        # In terms of the factors the gradient is products(g), and the bias's is the mean of p - y.
         g = (p - y) / n + decay * factors
-        if g @ products @ g + (p - y).mean() ** 2 <= GRADIENT**2:
+        if g @ products(g) + (p - y).mean() ** 2 <= GRADIENT**2:
             break
-        # Newton's step solves (curvature * products + decay) d + curvature * db = -g, with sum(curvature * (products d + db)) = -sum(p - y) / n.
+        # Newton's step solves curvature * products(d) + decay * d + curvature * db = -g, with sum(curvature * (products(d) + db)) = -sum(p - y) / n;
+        # with d = root * e the first is a symmetric system for e.
         curvature = np.maximum(p * (1 - p), 1e-9) / n
-        system = curvature[:, None] * products
-        system[np.diag_indices(n)] += decay
-        one, two = np.linalg.solve(system, np.stack([-g, -curvature], axis=1)).T
-        db = float((-(p - y).sum() / n - curvature @ (products @ one)) / (curvature.sum() + curvature @ (products @ two)))
+        root = np.sqrt(curvature)
+        system = lambda e, root=root: root * products(root * e) + decay * e
+        one, two = (root * solved(system, v / root) for v in (-g, -curvature))
+        db = float((-(p - y).sum() / n - curvature @ products(one)) / (curvature.sum() + curvature @ products(two)))
         d, step = one + db * two, 1.0
         while (new := loss(factors + step * d, b + step * db))[0] > now and step > 1e-6:
             step /= 2
