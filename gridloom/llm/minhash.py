@@ -275,7 +275,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similarity: int,
     bands_of = bands * classes.count()
     hubs = settle_round(keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1"), bands_of)
     total = hubs.agg(F.sum("n")).first()[0] or 0
-    members = settle_round(look_up(keyed, hubs, ["key"], total).select("key", "cid", "hub"), total)
+    members = settle_round(look_up(keyed, hubs, ["key"], total).select("key", "cid", "hub"), bands_of)
     wanted = settle_round(members.select("cid").distinct().join(classes.select("cid", "rep", "d1", "d2"), "cid"), total)
     count = wanted.count()
     if not count:

@@ -146,9 +146,10 @@ def mix(
 
     A source's documents are taken whole in the order of their random keys, in
     ``target / source_size`` epochs; the one at which the budget ends is taken
-    in part.  Null texts have size 0, a null source is a source of its own
-    (the last), rows that repeat id and text are cut alike, an empty table
-    gives an empty result.
+    in part.  Null and empty texts have size 0, a very long one is cut like any
+    other, a null source is a source of its own (the last), rows of equal key
+    (those that repeat id and text) are cut alike, extra columns are left out,
+    whatever their names, an empty table gives an empty result.
     """
     sized = settle(sized_rows(df, id_col, text_col, source_col, seed))
     cuts = source_cuts(sized, weights, cap, share)

@@ -200,8 +200,9 @@ def quality_rules(
     (label 0: bad), chosen by a hash of their id; a rule must reach
     ``precision`` on them.  Without labels nothing but the base rule rejects.
 
-    A null text has no words and fails the base rule; ids may be null or
-    repeat; labels of null ids or values are ignored and, of several labels,
+    A null or empty text has no words and fails the base rule; a very long one
+    is counted whole; ids may be null or repeat, and an id is learned from
+    once; extra columns are left out, whatever their names; labels of null ids or values are ignored and, of several labels,
     the lowest counts; an empty table gives an empty result.
     """
     counts = settle(text_statistics(df, id_col, text_col))
@@ -211,7 +212,9 @@ def quality_rules(
     marked = pick(labels, doc_id=id_col, label=label_col).where("doc_id IS NOT NULL AND label IS NOT NULL")
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("label").alias("label"))
     sample = hash_sample(marked, "doc_id", bound).join(rows, "doc_id").where("n_words >= 10")
-    got = sample.select("doc_id", "label", *FEATURES).toArrow().sort_by("doc_id")
+    # One row for each id, the least, so that rows that repeat an id don't add to the sample.
+    one = sample.groupBy("doc_id", "label").agg(F.min(F.struct(*FEATURES)).alias("f")).select("doc_id", "label", "f.*")
+    got = one.select("doc_id", "label", *FEATURES).toArrow().sort_by("doc_id")
     x = {k: got.column(k).to_numpy() for k in FEATURES}
     rules = learn(x, got.column("label").to_numpy() == 0, precision) if got.num_rows else []
 
