@@ -41,8 +41,8 @@ FEW = 100_000
 #: Members of a bucket that a task compares with as many others at a time.
 BLOCK = 4096
 SKETCH = 512
-#: Pairs whose estimated similarity is so much below the least one aren't verified: six standard deviations of the sketch.
-MARGIN = 0.12
+#: Pairs whose estimated similarity is so much below the least one aren't verified: four standard deviations of the sketch.
+MARGIN = 0.08
 #: Shingle sets in a file of theirs, about.
 SETS = 4000
 #: A hub's members are dealt out in parts of about so many.
@@ -328,7 +328,8 @@ def near_duplicates(
     their sets' Jaccard index is at least ``similarity`` per cent.  With 32
     bands of 4 rows a pair at 75 per cent is missed by banding with probability
     5.2e-6; one that only the sketches compare also by their estimate, with
-    probability 1.1e-9 (coordinates taken as independent).
+    probability 2.4e-5, so by either with 2.9e-5 at most (coordinates taken as
+    independent).
 
     Texts that are null or have no words have an empty set and no link; a very
     long text's set is that of the whole text.  A row of a null id is in no
