@@ -421,7 +421,7 @@ def _(spark, sf):
 
 @query("mean_of_peaks", f"{WITH}, p AS (SELECT name, max(value) AS peak FROM l, {SQL_RECTANGLES} WHERE {INSIDE} GROUP BY name) SELECT avg(peak) AS mean_peak, count(*) AS footprints FROM p")
 def _(spark, sf):
-    peaks = extract(spark, lattice(spark, sf), rectangles(spark)).groupBy("name").agg(F.max("value").alias("peak"))
+    peaks = extract(spark, lattice(spark, sf), rectangles(spark)).where("value IS NOT NULL").groupBy("name").agg(F.max("value").alias("peak"))
     return peaks.agg(F.avg("peak").alias("mean_peak"), F.count("*").alias("footprints"))
 
 
@@ -616,7 +616,7 @@ def viewed(spark: SparkSession, sf_dir: str) -> None:
 @query("tool_list_tables", values(("surface_lines", True), ("surface_nations", True), names="name, temporary"))
 def _(spark, sf):
     viewed(spark, sf)
-    got = [(t["name"], t["temporary"]) for t in tools(spark).list_tables()["tables"] if t["name"].startswith("surface_")]
+    got = [(t["name"], t["temporary"]) for t in tools(spark).list_tables()["tables"] if t["name"] in ("surface_lines", "surface_nations")]
     return spark.createDataFrame(got, "name string, temporary boolean")
 
 
