@@ -71,7 +71,11 @@ class Tools:
     # -- running ---------------------------------------------------------
 
     def _run(self, work: Callable[[], dict]) -> dict:
-        """One call at a time; its jobs are cancelled when its time is over."""
+        """One call at a time; its jobs are cancelled when its time is over.
+
+        A call may submit jobs later than that, as when it is still planned at
+        that moment, so cancelling goes on until the call has ended.
+        """
         with self._one:
             context, tag = self.spark.sparkContext, f"tool-{uuid.uuid4().hex}"
             over, began = threading.Event(), datetime.datetime.now()
@@ -85,7 +89,6 @@ class Tools:
                     if spent > self.timeout:
                         late.append(spent)
                         context.cancelJobsWithTag(tag)
-                        return
 
             watcher = threading.Thread(target=watch, daemon=True)
             context.addJobTag(tag)

@@ -1,4 +1,5 @@
 import json
+import time
 
 import numpy as np
 import pytest
@@ -260,6 +261,21 @@ def test_slow_calls_are_cancelled(spark):
         tools.run_sql("SELECT count(*) AS n FROM range(0, 2000000) a JOIN range(0, 2000000) b ON a.id <> b.id + 0.5")
 
 
+def test_jobs_begun_after_the_time_are_cancelled(spark):
+    """A call that has no job yet when its time is over, as in a session that plans slowly."""
+    tools = Tools(spark, timeout=0.1)
+
+    def work():
+        time.sleep(1.2)
+        spark.sparkContext.parallelize(range(2), 2).foreach(lambda _: time.sleep(8))
+        return {}
+
+    with pytest.raises(TimedOut):
+        tools._run(work)
+    # Its tag is gone with it: later calls of other tools aren't cancelled.
+    assert Tools(spark).run_sql("SELECT 1 AS a")["rows"] == [[1]]
+
+
 def test_config_layers(tmp_path):
     (tmp_path / "home" / "gridloom").mkdir(parents=True)
     (tmp_path / "home" / "gridloom" / "config.toml").write_text('s3_region = "a"\ns3_endpoint = "e"\n[providers]\nmine = "http://m"\n')
