@@ -174,9 +174,11 @@ def pack(
     docs = pick(df, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     pieces = settle(token_pieces(docs, path, capacity, end_id))
 
-    sizes = settle(pieces.groupBy("block", "length").agg(F.count("*").alias("n")))
+    # Counted twice from the settled pieces: settling the counts, too, would write two files a shuffle partition,
+    # and without its native library Hadoop starts a process (chmod) for each.
     # At most one row for each length: bounded by the capacity.
-    histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    sizes = pieces.groupBy("block", "length").agg(F.count("*").alias("n"))
     places = df.sparkSession.sparkContext.broadcast(Places(plan(histogram, capacity), capacity))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("block", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -1,11 +1,13 @@
 import math
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from gridloom.llm.common import shared_folder
 from gridloom.llm.packing import Places, pack, plan
 from gridloom.llm.tokens import Encoder, token_counts, vocabulary_path
 
@@ -90,6 +92,24 @@ def test_packing(spark, library):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, pack(docs).collect()))
 
 
+def test_packing_settles_only_pieces(spark, odd):
+    """Hadoop starts a process for each file that a checkpoint writes: none for each shuffle partition."""
+    top = Path(shared_folder(spark).removeprefix("file:"))
+    written = lambda: {p for p in top.rglob("part-*")}
+    before, docs = written(), odd.repartition(3)
+    kept = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = pack(docs).collect()
+        assert len(written() - before) == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept[1])
+    places = [(r["sequence_id"], r["offset"]) for r in rows]
+    assert len(set(places)) == len(places) and sum(r["doc_id"] == 4 for r in rows) == 2
+
+
 def test_packing_odd_rows(odd, none):
     rows = pack(odd).collect()
     assert [(r["length"], r["piece"]) for r in rows if r["doc_id"] == 1] == [(1, 0)]
