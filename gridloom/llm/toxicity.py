@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, hold, pick, restored, settle, slices, table
+from .common import beside, hold, pick, restored, settle, slices, table, tidy
 
 ORDERS = (3, 4, 5, 6)
 SLOTS = 1 << 20
@@ -328,6 +328,7 @@ def without_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.5, boun
     """
     docs = pick(df, doc_id="doc_id", text="text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     trained = train(docs, labels, bound=bound, held_out=False)
+    tidy(df.sparkSession)  # of the fit's matrix and texts
     if not trained.slots.size:
         return df
     model = df.sparkSession.sparkContext.broadcast(trained)

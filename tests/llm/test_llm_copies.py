@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from gridloom.llm.common import tidy
 from gridloom.llm.line_dedup import dedup_lines, deduped_documents
 from gridloom.llm.minhash import near_duplicates, without_copies
 from gridloom.llm.toxicity import Counts, fit, present, toxicity, without_toxic
@@ -181,6 +182,21 @@ def test_near_duplicates_of_odd_rows(odd, none, spark):
     assert {r["component_id"] for r in near_duplicates(df).collect()} == {1}
 
 
+def test_tidy_gives_the_drivers_heap_back(spark):
+    """A heap that was large once stays no larger than what is in use asks for; the JVM's limit is as before."""
+    jvm = spark.sparkContext._jvm
+    management = jvm.java.lang.management.ManagementFactory
+    options = management.getPlatformMXBean(jvm.java.lang.Class.forName("com.sun.management.HotSpotDiagnosticMXBean"))
+    limit = options.getVMOption("MaxHeapFreeRatio").getValue()
+    large = jvm.java.util.ArrayList()
+    large.ensureCapacity(1 << 28)
+    large.trimToSize()
+    tidy(spark)
+    heap = management.getMemoryMXBean().getHeapMemoryUsage()
+    assert heap.getCommitted() < 2.5 * heap.getUsed()
+    assert options.getVMOption("MaxHeapFreeRatio").getValue() == limit
+
+
 # -- pipeline --
 
 
